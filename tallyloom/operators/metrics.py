@@ -131,3 +131,9 @@ def auc_table(
     return placed.groupBy(*by).agg(
         F.try_divide(F.sum(F.col("_wins") + F.col("_pos").cast("double") * F.col("_below")), pairs).alias("auc")
     )
+
+
+def as_rows(report: DataFrame) -> DataFrame:
+    """A one-row report as (metric, value) rows, so that reports can be put below each other."""
+    doubles = report.select(*[F.col(c).cast("double").alias(c) for c in report.columns])
+    return doubles.unpivot([], doubles.columns, "metric", "value")

@@ -6,15 +6,16 @@ from contextlib import contextmanager
 from collections.abc import Iterator
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.operators.coding import assemble_stage, bucket_stage, dummy_stage, index_stage
 from tallyloom.operators.text import text_stages
@@ -63,6 +64,30 @@ def cached(*frames: DataFrame) -> Iterator[None]:
             df.unpersist()
 
 
+def stack_scores(fitted: dict[str, Model], rows: DataFrame, label: str = "label") -> DataFrame:
+    """(model, label, prediction, probability of class 1) of several binary classifiers.
+
+    All models score a row in the same pass; the rows are unfolded afterwards,
+    so the input is read once and not once per model.
+    """
+    scored = rows
+    for i, model in enumerate(fitted.values()):
+        named = {
+            model.rawPredictionCol: f"_raw{i}", model.probabilityCol: f"_probability{i}", model.predictionCol: f"_prediction{i}",
+        }
+        scored = model.copy(named).transform(scored)
+    each = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.col(label),
+            F.col(f"_prediction{i}").alias("prediction"),
+            vector_to_array(f"_probability{i}")[1].alias("probability"),
+        )
+        for i, name in enumerate(fitted)
+    ]
+    return scored.select(F.inline(F.array(*each)))
+
+
 def category_stages(numeric: list[str], categories: list[str], features: str = "features") -> list:
     """Codes, dummies and the feature vector: numeric columns first, then each category's dummies."""
     indexer = index_stage(categories)

@@ -68,6 +68,18 @@ def travel_speed(model: Model, scored: DataFrame, distance: str = "km") -> DataF
     )
 
 
+def coefficient_report(model: Model, scored: DataFrame) -> DataFrame:
+    """``coefficient_table`` with the training metrics repeated on each row."""
+    s = model.summary
+    return coefficient_table(model, scored).withColumns(
+        {
+            "n_rows": F.lit(int(s.numInstances)).cast("bigint"),
+            "rmse": F.lit(float(s.rootMeanSquaredError)),
+            "r2": F.lit(float(s.r2)),
+        }
+    )
+
+
 def fit_report(model: Model, spark: SparkSession) -> DataFrame:
     """Training metrics of a linear regression: one row."""
     s = model.summary
@@ -100,11 +112,14 @@ def tree_table(model: Model, spark: SparkSession) -> DataFrame:
 
 
 def rule_table(model: Model, scored: DataFrame) -> DataFrame:
-    """The if/else listing of a tree model, one row per line, with slot names for slot numbers."""
+    """The if/else listing of a tree model, one row per line, with slot names for slot numbers.
+
+    The heading line is left out: it holds a model id that differs from run to run.
+    """
     names = _features_of(model, scored)
-    lines = model.toDebugString.rstrip("\n").split("\n")
+    lines = model.toDebugString.rstrip("\n").split("\n")[1:]
     named = [re.sub(r"feature (\d+)", lambda m: names[int(m.group(1))], line) for line in lines]
-    return scored.sparkSession.createDataFrame(list(enumerate(named)), "line int, rule string")
+    return scored.sparkSession.createDataFrame(list(enumerate(named, 1)), "line int, rule string")
 
 
 def parameter_table(model: Params, spark: SparkSession) -> DataFrame:

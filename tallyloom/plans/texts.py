@@ -70,15 +70,22 @@ def hashed_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.select("doc_id", "buckets", _slot_total("text_hash").cast("bigint").alias("n_terms"))
 
 
-def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    weighed = text.hashed_tfidf(_documents(spark, sf_dir), "text")
-    return weighed.select(
-        "doc_id",
-        F.size(F.filter(dense("features"), lambda v: v > 0)).alias("n_slots"),
-        F.round(_slot_total("features"), 4).alias("total_weight"),
+def _weights(df: DataFrame, buckets: int) -> DataFrame:
+    """(doc_id, slot, tf, weight) of the filled slots of each document."""
+    weighed = text.hashed_tfidf(df, "text", buckets)
+    pairs = F.arrays_zip(dense("text_hash").alias("tf"), dense("features").alias("weight"))
+    slots = weighed.select("doc_id", F.posexplode(pairs).alias("slot", "pair")).where(F.col("pair.tf") > 0)
+    return slots.select(
+        "doc_id", F.lit(buckets).alias("buckets"), "slot",
+        F.col("pair.tf").cast("bigint").alias("tf"), F.round("pair.weight", 6).alias("weight"),
     )
 
 
+def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _documents(spark, sf_dir)
+    return _weights(df, 32).unionByName(_weights(df, 1024))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +96,25 @@ QUERIES = {
 
 _TOKENS = tokens_cte("documents", "doc_id")
 
+# MurmurHash3 (x86, 32 bits, seed 42) of each distinct term, from its UTF-8 bytes in hex.
+_TWO32 = "4294967296"
+_SLOTS = f"""
+spelled AS (SELECT DISTINCT term, hex(encode(term)) AS h, strlen(term) AS n FROM kept),
+chunks AS (SELECT term, n, list_transform(range(((n + 3) // 4)::BIGINT), lambda i: ('0x0' ||
+    substr(h, (8*i + 7)::BIGINT, 2) || substr(h, (8*i + 5)::BIGINT, 2) || substr(h, (8*i + 3)::BIGINT, 2) ||
+    substr(h, (8*i + 1)::BIGINT, 2))::UBIGINT) AS ks FROM spelled),
+mixed AS (SELECT term, n, list_transform(list_transform(list_transform(ks,
+    lambda k: (k * 3432918353::UBIGINT) % {_TWO32}::UBIGINT),
+    lambda k: (k * 32768::UBIGINT) % {_TWO32}::UBIGINT + k // 131072::UBIGINT),
+    lambda k: (k * 461845907::UBIGINT) % {_TWO32}::UBIGINT) AS ks FROM chunks),
+body AS (SELECT term, n, ks, list_reduce(list_prepend(42::UBIGINT, ks[1 : (n // 4)::BIGINT]), lambda h, k:
+    (((xor(h, k) * 8192::UBIGINT) % {_TWO32}::UBIGINT + xor(h, k) // 524288::UBIGINT) * 5::UBIGINT + 3864292196::UBIGINT)
+    % {_TWO32}::UBIGINT) AS h FROM mixed),
+tail AS (SELECT term, xor(CASE WHEN n % 4 > 0 THEN xor(h, ks[-1]) ELSE h END, n::UBIGINT) AS h FROM body),
+f1 AS (SELECT term, (xor(h, h // 65536::UBIGINT) * 2246822507::UBIGINT) % {_TWO32}::UBIGINT AS h FROM tail),
+f2 AS (SELECT term, (xor(h, h // 8192::UBIGINT) * 3266489909::UBIGINT) % {_TWO32}::UBIGINT AS h FROM f1),
+hashes AS (SELECT term, xor(h, h // 65536::UBIGINT) AS h FROM f2)"""
+
 ORACLES = {
     "clean_steps": r"""SELECT doc_id, regexp_replace(text, '[_():;,.!?\-]', ' ', 'g') AS no_punctuation,
         regexp_replace(text, '[0-9]', ' ', 'g') AS no_digits, regexp_replace(text, ' +', ' ', 'g') AS squeezed
@@ -110,4 +136,10 @@ ORACLES = {
     "hashed_term_totals": f"""WITH {_TOKENS}, totals AS (SELECT doc_id, count(term) AS n_terms
         FROM documents LEFT JOIN kept USING (doc_id) GROUP BY doc_id)
         SELECT doc_id, buckets, n_terms FROM totals, (VALUES (32), (1024)) AS sizes(buckets)""",
+    "hashed_tfidf": f"""WITH {_TOKENS}, {_SLOTS}, m AS (SELECT count(*) AS m FROM documents),
+        counts AS (SELECT doc_id, buckets, (h % buckets::UBIGINT)::INTEGER AS slot, count(*) AS tf
+            FROM kept JOIN hashes USING (term), (VALUES (32), (1024)) AS sizes(buckets) GROUP BY ALL),
+        spreads AS (SELECT buckets, slot, count(*) AS df FROM counts GROUP BY ALL)
+        SELECT doc_id, buckets, slot, tf, round(tf * ln((m + 1) / (df + 1)), 6) AS weight
+        FROM counts JOIN spreads USING (buckets, slot), m""",
 }
