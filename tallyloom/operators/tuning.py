@@ -4,8 +4,7 @@
 
 * the stages before the model are fitted once per fold instead of once per fold
   and grid point, still on that fold's training rows only;
-* folds are plain filters on a fold column, without a Python check per row;
-* for a root-mean-square error all grid points are scored in one pass per fold.
+* folds are plain filters on a fold column, without a Python check per row.
 
 The metrics are the same; a test compares the two.
 """
@@ -16,8 +15,8 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -94,26 +93,6 @@ def grid_size(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("n_models"))
 
 
-def _rmse_of_all(models: list[Model], rows: DataFrame, label: str) -> list[float]:
-    """Root mean squared error of several models over the same rows, in one job."""
-    features = rows.select(models[0].getFeaturesCol(), label)
-    for i, model in enumerate(models):
-        features = model.copy({model.predictionCol: f"_p{i}"}).transform(features)
-    squares = [F.sqrt(F.avg((F.col(f"_p{i}") - F.col(label)) ** 2)).alias(str(i)) for i in range(len(models))]
-    return list(features.agg(*squares).first())
-
-
-def _score_all(
-    models: list[Model], rows: DataFrame, evaluator: Evaluator, pool: ThreadPoolExecutor, per_pass: int = 16
-) -> list[float]:
-    if isinstance(evaluator, RegressionEvaluator) and evaluator.getMetricName() == "rmse":
-        label = evaluator.getLabelCol()
-        batches = [models[i : i + per_pass] for i in range(0, len(models), per_pass)]
-        return [m for batch in batches for m in _rmse_of_all(batch, rows, label)]
-    score = inheritable_thread_target(lambda model: evaluator.evaluate(model.transform(rows)))
-    return list(pool.map(score, models))
-
-
 def grid_search(
     stages: list, model: Estimator, points: list[dict], evaluator: Evaluator,
     rows: DataFrame, fold_column: str, folds: int, parallelism: int = 4,
@@ -126,6 +105,7 @@ def grid_search(
     features = Pipeline(stages=stages)
     needed = [model.getFeaturesCol(), model.getLabelCol()]
     metrics: list[list[float]] = [[] for _ in points]
+    in_session = inheritable_thread_target(rows.sparkSession)
     with cached(rows), ThreadPoolExecutor(parallelism) as pool:
         for fold in range(folds):
             held_out = F.col(fold_column) == fold
@@ -133,9 +113,8 @@ def grid_search(
             train = prepared.transform(rows.where(~held_out)).select(*needed)
             held = prepared.transform(rows.where(held_out)).select(*needed)
             with cached(train, held):
-                train_one = inheritable_thread_target(lambda point, df=train: model.fit(df, point))
-                fitted = list(pool.map(train_one, points))
-                for values, value in zip(metrics, _score_all(fitted, held, evaluator, pool)):
+                run = in_session(lambda point: evaluator.evaluate(model.fit(train, point).transform(held)))
+                for values, value in zip(metrics, pool.map(run, points)):
                     values.append(value)
         result = GridResult(points, metrics, evaluator.getMetricName(), evaluator.isLargerBetter(), None)
         winner = Pipeline(stages=[*stages, model.copy(points[result.best])])
