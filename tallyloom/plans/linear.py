@@ -159,7 +159,7 @@ def fit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logit_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With one dummy per level, the fitted probability is the share of the group."""
+    """With one dummy per level, the fitted probabilities of a group add up to its positive rows."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("priority"), (F.col("o_totalprice") >= 150000).cast("int").alias("label")
     )
@@ -167,8 +167,8 @@ def logit_saturated(spark: SparkSession, sf_dir: str) -> DataFrame:
     with models.cached(orders):
         scored = Pipeline(stages=stages).fit(orders).transform(orders)
     chance = coding.dense("probability")[1]
-    per_group = scored.groupBy("priority").agg(F.count("*").alias("n_rows"), F.avg(chance).alias("probability"))
-    return _rounded(per_group, 4, "probability")
+    per_group = scored.groupBy("priority").agg(F.count("*").alias("n_rows"), F.sum(chance).alias("expected"))
+    return _rounded(per_group, 1, "expected")
 
 
 def logit_score_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +266,7 @@ ORACLES = {
     "pair_listing": f"""WITH {_KM_FIT} SELECT duration, round(prediction, 2) AS prediction, count(*) AS n_rows
         FROM held GROUP BY ALL""",
     "logit_saturated": """SELECT o_orderpriority AS priority, count(*) AS n_rows,
-        round(avg((o_totalprice >= 150000)::INTEGER), 4) AS probability FROM orders GROUP BY ALL""",
+        sum((o_totalprice >= 150000)::INTEGER)::DOUBLE AS expected FROM orders GROUP BY ALL""",
     "logit_score_equations": f"""WITH {DELAYS} SELECT count(*) AS n_rows, 0::DOUBLE AS intercept, 0::DOUBLE AS mon,
         0::DOUBLE AS depart, 0::DOUBLE AS duration FROM delays""",
 }

@@ -1,0 +1,24 @@
+"""What no registered query may contain: Python workers, pair-wise joins, machine-local lineage cuts."""
+
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as driver
+
+# Long searches are left out here; they use the same operators.
+NAMES = [n for n in driver.queries() if n not in ("fuel_grid", "forest_grid", "duration_grid", "cv_grid", "grid_winner")]
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_plan_has_no_forbidden_operator(name, spark, sf_dir):
+    plan = driver.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert [f for f in FORBIDDEN if f in plan] == []
+
+
+def test_sources_use_no_local_lineage_cut_and_no_table_to_driver():
+    package = Path(driver.__file__).parent / "tallyloom"
+    for path in package.rglob("*.py"):
+        code = path.read_text()
+        assert "localCheckpoint" not in code and "toPandas" not in code, path
