@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StopWordsRemover, Tokenizer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.functions.stopwords import ENGLISH_STOP_WORDS
@@ -78,3 +78,18 @@ def hashed_tfidf(df: DataFrame, text: str, buckets: int = 1024, name: str = "fea
     """Fit the text stages on ``df`` and apply them. For model building put
     ``text_stages`` in a pipeline, so that the weights come from training rows only."""
     return Pipeline(stages=text_stages(text, name, buckets)).fit(df).transform(df)
+
+
+def hashed_sizes(df: DataFrame, text: str, sizes: list[int]) -> DataFrame:
+    """Hashed counts of several sizes side by side in ``<text>_hash`` and their weights in ``features``.
+
+    The terms are made once per pass, and because weights are per slot one fit
+    covers all sizes: slots of the first size come first, then those of the next.
+    """
+    clean, token, stop, *_ = text_stages(text)
+    hashers = [
+        HashingTF(inputCol=stop.getOutputCol(), outputCol=f"{text}_hash_{n}", numFeatures=n) for n in sizes
+    ]
+    joined = VectorAssembler(inputCols=[h.getOutputCol() for h in hashers], outputCol=f"{text}_hash")
+    idf = IDF(inputCol=joined.getOutputCol(), outputCol="features", minDocFreq=0)
+    return Pipeline(stages=[clean, token, stop, *hashers, joined, idf]).fit(df).transform(df)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.functions import miles_to_km
 from tallyloom.operators import coding, metrics, models, reports, split, wrangle
 from tallyloom.plans.checks import DELAYS, KM_TRIPS, in_train
-from tallyloom.sources import cars, spread, table, trips
+from tallyloom.sources import cars, table, trips
 
 # (elasticNetParam, regParam) of the penalized fits
 PENALTIES = [(0.0, 0.1), (0.0, 10.0), (0.5, 5.0), (1.0, 0.75), (1.0, 1.0), (1.0, 60.0), (1.0, 100.0)]
@@ -127,31 +127,48 @@ def pair_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.pair_listing(_km_test(spark, sf_dir), "duration", digits=2)
 
 
-def fuel_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fuel use from weight, cylinders, type and densities: plain, ridge and lasso on the same rows."""
-    measured = cars(spark, sf_dir).transform(wrangle.car_units).transform(wrangle.fuel_use).transform(wrangle.densities)
-    numeric = ["weight_kg", "cyl", "density", "density_area", "density_volume"]
-    train, test = split.stable_split(measured, "car_id")
+def _three_models(train: DataFrame, test: DataFrame, stages: list, label: str, lasso: float) -> DataFrame:
+    """Plain, ridge and lasso fit of the same prepared rows: held-out error and coefficients set to zero."""
     found = []
-    with models.cached(train, test):
-        dummies = models.category_stages(numeric, ["type"])
-        prepared = Pipeline(stages=dummies).fit(train)
-        fit_rows, test_rows = prepared.transform(train), prepared.transform(test)
+    prepared = Pipeline(stages=stages).fit(train)
+    fit_rows, test_rows = (prepared.transform(part).select("features", label) for part in (train, test))
+    with models.cached(fit_rows, test_rows):
         for name, estimator in (
-            ("plain", models.least_squares("consumption")),
-            ("ridge", models.ridge("consumption", 0.1)),
-            ("lasso", models.lasso("consumption", 0.75)),
+            ("plain", models.least_squares(label)),
+            ("ridge", models.ridge(label, 0.1)),
+            ("lasso", models.lasso(label, lasso)),
         ):
             model = estimator.fit(fit_rows)
             # one row each, of the size of the model
-            score = metrics.regression_report(model.transform(test_rows), "consumption").first()
+            score = metrics.regression_report(model.transform(test_rows), label).first()
             zeros = reports.zero_coefficients(model, fit_rows).first()
             found.append((name, score.n_rows, score.rmse, score.r2, zeros.n_zero, zeros.n_features))
-    return spark.createDataFrame(
+    return train.sparkSession.createDataFrame(
         found, "model string, n_rows bigint, rmse double, r2 double, n_zero bigint, n_features bigint"
     )
 
 
+def fuel_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuel use from weight, cylinders, type and densities: plain, ridge and lasso on the same rows."""
+    measured = cars(spark, sf_dir).transform(wrangle.car_units).transform(wrangle.fuel_use).transform(wrangle.densities)
+    numeric = ["weight_kg", "cyl", "density", "density_area", "density_volume"]
+    train, test = split.stable_split(measured.select("car_id", "type", "consumption", *numeric), "car_id")
+    return _three_models(train, test, models.category_stages(numeric, ["type"]), "consumption", lasso=0.75)
+
+
+def schedule_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duration from kilometres and the dummies of airport, hour bucket, month and weekday: plain, ridge and lasso."""
+    df = trips(spark, sf_dir).select("trip_id", "mile", "org", "depart", "mon", "dow", "duration")
+    df = wrangle.replace_columns(df, {"km": miles_to_km("mile")}, drop=("mile",))
+    train, test = split.stable_split(df, "trip_id")
+    org = coding.index_stage(["org"])
+    stages = [
+        org, coding.dummy_stage(org.getOutputCols(), ["org_dummy"]), *models.hour_stages("depart", ["mon", "dow"]),
+        coding.assemble_stage(["km", "org_dummy", "depart_dummy", "mon_dummy", "dow_dummy"]),
+    ]
+    return _three_models(train, test, stages, "duration", lasso=1.0)
+
+
 def fit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objective per iteration of a lasso fit."""
     rows = _vector(flown(spark, sf_dir), ["km", "dow"], "duration")
@@ -204,7 +221,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         ols_one_feature, penalized_one_feature, ols_with_category, ols_group_means, travel_speed,
-        ols_normal_equations, ols_residuals, rmse_test, pair_listing, fuel_models, fit_history,
+        ols_normal_equations, ols_residuals, rmse_test, pair_listing, fuel_models, schedule_models,
+        fit_history,
         logit_saturated, logit_score_equations, logit_delay_report,
     )
 }

@@ -95,7 +95,8 @@ def fuel_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late trips: feature subset rule by depth, ranked by the area under the curve."""
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
-    train, _ = split.stable_split(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id")
+    columns = spread(late.select("trip_id", "mon", "depart", "duration", "label"))
+    train, _ = split.stable_split(columns, "trip_id")
     model = models.forest(seed=SEED)
     points = tuning.grid(
         {model.featureSubsetStrategy: ["all", "onethird", "sqrt", "log2"], model.maxDepth: [2, 5, 10]}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.textual import clean_message, clean_title, squeeze_spaces, strip_digits, strip_punctuation
@@ -55,37 +54,29 @@ def term_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _slot_total(vector: str):
-    return F.aggregate(dense(vector), F.lit(0.0), lambda total, v: total + v)
-
-
 def hashed_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms per document by summing the hashed counts: collisions add, so nothing is lost."""
-    df = _documents(spark, sf_dir)
-    few = Pipeline(stages=text.text_stages("text", buckets=32)[:-1])
-    many = Pipeline(stages=text.text_stages("text", buckets=1024)[:-1])
-    sizes = (few.fit(df).transform(df).select("doc_id", F.lit(32).alias("buckets"), "text_hash")).unionByName(
-        many.fit(df).transform(df).select("doc_id", F.lit(1024).alias("buckets"), "text_hash")
-    )
-    return sizes.select("doc_id", "buckets", _slot_total("text_hash").cast("bigint").alias("n_terms"))
+    hashed = text.hashed_sizes(_documents(spark, sf_dir), "text", [32, 1024])
+    total = lambda n: F.aggregate(dense(f"text_hash_{n}"), F.lit(0.0), lambda sofar, v: sofar + v).cast("bigint")
+    both = [F.struct(F.lit(n).alias("buckets"), total(n).alias("n_terms")) for n in (32, 1024)]
+    return hashed.select("doc_id", F.inline(F.array(*both)))
 
 
-def _weights(df: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, slot, tf, weight) of the filled slots of each document."""
-    weighed = text.hashed_tfidf(df, "text", buckets)
+def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, buckets, slot, tf, weight) of the filled slots of each document, for 32 and 1024 slots."""
+    weighed = text.hashed_sizes(_documents(spark, sf_dir), "text", [32, 1024])
     pairs = F.arrays_zip(dense("text_hash").alias("tf"), dense("features").alias("weight"))
-    slots = weighed.select("doc_id", F.posexplode(pairs).alias("slot", "pair")).where(F.col("pair.tf") > 0)
-    return slots.select(
-        "doc_id", F.lit(buckets).alias("buckets"), "slot",
-        F.col("pair.tf").cast("bigint").alias("tf"), F.round("pair.weight", 6).alias("weight"),
+    filled = weighed.select("doc_id", F.posexplode(pairs).alias("at", "pair")).where(F.col("pair.tf") > 0)
+    small = F.col("at") < 32
+    return filled.select(
+        "doc_id",
+        F.when(small, 32).otherwise(1024).alias("buckets"),
+        F.when(small, F.col("at")).otherwise(F.col("at") - 32).alias("slot"),
+        F.col("pair.tf").cast("bigint").alias("tf"),
+        F.round("pair.weight", 6).alias("weight"),
     )
 
 
-def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _documents(spark, sf_dir)
-    return _weights(df, 32).unionByName(_weights(df, 1024))
-
-
 QUERIES = {
     f.__name__: f
     for f in (
