@@ -54,13 +54,17 @@ def boosted(label: str = "label", *, seed: int, rounds: int = 20, features: str
 
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[None]:
-    """Keep frames that several jobs read (fits, scores), spilling to disk, and release them after."""
-    for df in frames:
+    """Keep frames that several jobs read (fits, scores), spilling to disk, and release them after.
+
+    A frame that the caller already keeps is left as it is, also at the end.
+    """
+    kept = [df for df in frames if not (df.storageLevel.useMemory or df.storageLevel.useDisk)]
+    for df in kept:
         df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield
     finally:
-        for df in frames:
+        for df in kept:
             df.unpersist()
 
 

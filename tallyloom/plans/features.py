@@ -28,6 +28,13 @@ def dummy_lookup_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(cars(spark, sf_dir), "type").orderBy("type_idx")
 
 
+def distinct_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct rows that hold a feature vector."""
+    df = trips(spark, sf_dir).select("org", "mon", "dow")
+    vectors = coding.assemble_stage(["mon", "dow"]).transform(df).select("org", "features").distinct()
+    return vectors.select("org", coding.dense("features").alias("features"))
+
+
 def index_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = trips(spark, sf_dir).select("trip_id", "carrier", "org")
     coding.require_few_levels(df, ["carrier", "org"])
@@ -85,7 +92,7 @@ def category_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        dummy_lookup_org, dummy_lookup_type, index_codes, level_codes, code_column, onehot_raw,
+        dummy_lookup_org, dummy_lookup_type, distinct_vectors, index_codes, level_codes, code_column, onehot_raw,
         hour_bucket, hour_dummies, assembled_features, category_features,
     )
 }
@@ -107,6 +114,7 @@ _LOOKUP = "SELECT {c}, code AS {c}_idx, " + _dummy("code", "n_levels - 1") + " A
 ORACLES = {
     "dummy_lookup_org": f"WITH {TRIPS}, {_codes('trips', 'org', 'levels')} " + _LOOKUP.format(c="org"),
     "dummy_lookup_type": f"WITH {METRIC_CARS}, {_codes('cars', 'type', 'levels')} " + _LOOKUP.format(c="type"),
+    "distinct_vectors": f"""WITH {TRIPS} SELECT DISTINCT org, [mon::DOUBLE, dow::DOUBLE] AS features FROM trips""",
     "index_codes": f"""WITH {TRIPS}, {_codes('trips', 'carrier', 'carriers')}, {_codes('trips', 'org', 'orgs')}
         SELECT trip_id, carrier, org, carriers.code AS carrier_idx, orgs.code AS org_idx
         FROM trips JOIN carriers USING (carrier) JOIN orgs USING (org)""",

@@ -119,11 +119,12 @@ def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is a document English? Held-out ratios and area under the curve."""
     train, test = _english(spark, sf_dir)
     scored = models.text_classification("text").fit(train).transform(test)
-    with models.cached(scored):
-        area = metrics.auc_value(scored, exact=True)
-        report = metrics.as_rows(metrics.weighted_report(scored)).collect()
-    rows = [(r.metric, round(r.value, 4)) for r in report] + [("auc", round(area, 4))]
-    return spark.createDataFrame(rows, "metric string, value double")
+    # only what the metrics read is kept, not texts and vectors
+    judged = scored.select("label", "prediction", coding.dense("probability")[1].alias("score"))
+    with models.cached(judged):
+        area = metrics.as_rows(metrics.auc_table(judged, F.col("score")))
+        found = metrics.as_rows(metrics.weighted_report(judged)).unionByName(area).collect()
+    return spark.createDataFrame([(r.metric, round(r.value, 4)) for r in found], "metric string, value double")
 
 
 def text_classifier_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:

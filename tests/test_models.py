@@ -109,7 +109,15 @@ def test_cache_is_released_also_after_an_error(spark):
     df = spark.range(10)
     with pytest.raises(ZeroDivisionError), models.cached(df):
         1 / 0
-    assert not df.is_cached
+    assert not df.storageLevel.useMemory
+
+
+def test_cache_of_the_caller_stays(spark):
+    df = spark.range(10).persist()
+    with models.cached(df):
+        pass
+    assert df.storageLevel.useMemory
+    df.unpersist()
 
 
 def test_quality_floors_on_late_trips(spark, mid_dir):
