@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions import miles_to_km
 from tallyloom.operators import coding, metrics, models, reports, split, wrangle
-from tallyloom.plans.checks import DELAYS, KM_TRIPS, in_train
+from tallyloom.plans.checks import DELAYS, KM_TRIPS, TRIPS, in_train
 from tallyloom.sources import cars, table, trips
 
 # (elasticNetParam, regParam) of the penalized fits
@@ -201,6 +201,55 @@ def logit_score_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(wide, 4, "intercept", *features)
 
 
+def penalty_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several features under ridge, lasso and a mix: how far each coefficient is from its optimum condition.
+
+    With c the covariance of residual and feature over the feature's deviation s, a
+    nonzero coefficient b satisfies c = mix * strength * sign(b) + (1 - mix) * strength * b * s / sy,
+    and a zero one |c| <= mix * strength.
+    """
+    features = ["km", "dow", "depart"]
+    df = trips(spark, sf_dir).select("mile", "dow", "depart", "duration")
+    df = wrangle.replace_columns(df, {"km": miles_to_km("mile")}, drop=("mile",))
+    rows = coding.assemble_stage(features).transform(df)
+    found = []
+    with models.cached(rows):
+        for mix, strength in ((0.0, 0.1), (0.0, 20.0), (0.5, 20.0), (1.0, 0.75), (1.0, 30.0)):
+            model = models.least_squares("duration", elasticNetParam=mix, regParam=strength, tol=1e-12, maxIter=1000).fit(rows)
+            left = F.col("duration") - F.col("prediction")
+            moments = model.transform(rows).agg(
+                F.count("*").alias("n_rows"), F.stddev_pop("duration").alias("sy"),
+                *[F.stddev_pop(x).alias(f"s_{x}") for x in features],
+                *[(F.covar_pop(left, F.col(x)) / F.stddev_pop(x)).alias(f"c_{x}") for x in features],
+            )
+            gaps = []
+            for x, b in zip(features, model.coefficients.toArray()):
+                c = F.col(f"c_{x}")
+                pull = mix * strength * (1 if b > 0 else -1) + (1 - mix) * strength * float(b) * F.col(f"s_{x}") / F.col("sy")
+                gap = F.abs(c - pull) if b != 0 else F.greatest(F.abs(c) - mix * strength, F.lit(0.0))
+                gaps.append(F.struct(F.lit(x).alias("feature"), gap.alias("gap")))
+            found.append(
+                moments.select(F.lit(mix).alias("mix"), F.lit(strength).alias("strength"), "n_rows", F.inline(F.array(*gaps)))
+            )
+    return _rounded(reduce(DataFrame.unionByName, found), 5, "gap")
+
+
+def logit_penalty_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The penalized logistic model: label minus probability against a feature balances the pull of the penalty."""
+    strength, features = 0.2, ["mon", "depart", "duration"]
+    late = trips(spark, sf_dir).transform(wrangle.delay_labels).select(*features, "label")
+    rows = coding.assemble_stage(features).transform(late)
+    with models.cached(rows):
+        model = models.logistic("label", strength, tol=1e-8).fit(rows)
+    miss = F.col("label") - coding.dense("probability")[1]
+    pulls = [
+        (F.avg(miss * F.col(x)) / F.stddev_samp(x) - strength * float(b) * F.stddev_samp(x)).alias(x)
+        for x, b in zip(features, model.coefficients.toArray())
+    ]
+    wide = model.transform(rows).agg(F.count("*").alias("n_rows"), F.avg(miss).alias("intercept"), *pulls)
+    return _rounded(wide, 4, "intercept", *features)
+
+
 def _late_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
     train, test = split.stable_split(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id")
@@ -223,7 +272,7 @@ QUERIES = {
         ols_one_feature, penalized_one_feature, ols_with_category, ols_group_means, travel_speed,
         ols_normal_equations, ols_residuals, rmse_test, pair_listing, fuel_models, schedule_models,
         fit_history,
-        logit_saturated, logit_score_equations, logit_delay_report,
+        penalty_optimum, logit_saturated, logit_score_equations, logit_penalty_optimum, logit_delay_report,
     )
 }
 
@@ -285,6 +334,11 @@ ORACLES = {
         FROM held GROUP BY ALL""",
     "logit_saturated": """SELECT o_orderpriority AS priority, count(*) AS n_rows,
         sum((o_totalprice >= 150000)::INTEGER)::DOUBLE AS expected FROM orders GROUP BY ALL""",
+    "penalty_optimum": f"""WITH {TRIPS} SELECT mix, strength, feature, count(*) AS n_rows, 0::DOUBLE AS gap FROM trips,
+        (VALUES (0::DOUBLE, 0.1::DOUBLE), (0, 20), (0.5, 20), (1, 0.75), (1, 30)) AS fits(mix, strength),
+        (VALUES ('km'), ('dow'), ('depart')) AS names(feature) GROUP BY ALL""",
+    "logit_penalty_optimum": f"""WITH {DELAYS} SELECT count(*) AS n_rows, 0::DOUBLE AS intercept, 0::DOUBLE AS mon,
+        0::DOUBLE AS depart, 0::DOUBLE AS duration FROM delays""",
     "logit_score_equations": f"""WITH {DELAYS} SELECT count(*) AS n_rows, 0::DOUBLE AS intercept, 0::DOUBLE AS mon,
         0::DOUBLE AS depart, 0::DOUBLE AS duration FROM delays""",
 }

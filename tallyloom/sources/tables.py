@@ -61,7 +61,8 @@ def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Even out an input of fewer splits than the cluster has cores; larger inputs stay as they are.
 
-    Meant for work that is much dearer than a shuffle of its input, such as text or model fits.
+    Meant for work that is much dearer than a shuffle of its input, such as text or tree fits.
+    Use it right after a scan: counting the splits of a plan with a shuffle would run that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
