@@ -6,7 +6,7 @@ from contextlib import contextmanager
 from collections.abc import Iterator
 
 from pyspark import StorageLevel
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -68,6 +68,21 @@ def cached(*frames: DataFrame) -> Iterator[None]:
             df.unpersist()
 
 
+def fit_kept(pipeline: Pipeline, rows: DataFrame, keep: list[str]) -> PipelineModel:
+    """The same model as ``pipeline.fit(rows)``, with the leading stages run once.
+
+    Stages before the first one that needs a fit (cleaning, tokens, hashing) are
+    applied, and of their output only the columns ``keep`` are kept for the fits
+    that follow; ``Pipeline.fit`` would run them again for every pass over the rows.
+    """
+    stages = pipeline.getStages()
+    first = next(i for i, stage in enumerate(stages) if isinstance(stage, Estimator))
+    prepared = PipelineModel(stages[:first]).transform(rows).select(*keep)
+    with cached(prepared):
+        fitted = Pipeline(stages=stages[first:]).fit(prepared)
+    return PipelineModel([*stages[:first], *fitted.stages])
+
+
 def stack_scores(fitted: dict[str, Model], rows: DataFrame, label: str = "label") -> DataFrame:
     """(model, label, prediction, probability of class 1) of several binary classifiers.
 

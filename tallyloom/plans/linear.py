@@ -240,7 +240,7 @@ def logit_penalty_optimum(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = trips(spark, sf_dir).transform(wrangle.delay_labels).select(*features, "label")
     rows = coding.assemble_stage(features).transform(late)
     with models.cached(rows):
-        model = models.logistic("label", strength, tol=1e-8).fit(rows)
+        model = models.logistic("label", strength, tol=1e-7).fit(rows)
     miss = F.col("label") - coding.dense("probability")[1]
     pulls = [
         (F.avg(miss * F.col(x)) / F.stddev_samp(x) - strength * float(b) * F.stddev_samp(x)).alias(x)

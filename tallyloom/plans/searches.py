@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.regression import LinearRegressionModel
@@ -115,10 +116,14 @@ def _english(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split.stable_split(spread(documents), "doc_id")
 
 
+def _classifier(train: DataFrame) -> PipelineModel:
+    return models.fit_kept(models.text_classification("text"), train, ["text_hash", "label"])
+
+
 def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Is a document English? Held-out ratios and area under the curve."""
     train, test = _english(spark, sf_dir)
-    scored = models.text_classification("text").fit(train).transform(test)
+    scored = _classifier(train).transform(test)
     # only what the metrics read is kept, not texts and vectors
     judged = scored.select("label", "prediction", coding.dense("probability")[1].alias("score"))
     with models.cached(judged):
@@ -130,7 +135,7 @@ def text_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_classifier_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The intercept carries no penalty, so over the training rows the mean probability is the share of the label."""
     train, _ = _english(spark, sf_dir)
-    fitted = models.text_classification("text").fit(train)
+    fitted = _classifier(train)
     model = reports.stage_of(fitted, LogisticRegressionModel)
     chance = coding.dense(model.getProbabilityCol())[1]
     return fitted.transform(train).agg(F.count("*").alias("n_rows"), F.round(F.avg(chance), 2).alias("probability"))

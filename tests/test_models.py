@@ -32,6 +32,17 @@ def test_step_by_step_equals_the_pipeline(spark, sf_dir):
     assert math.isclose(error(model.transform(by_hand_test)), error(piped.transform(test)), rel_tol=1e-12)
 
 
+def test_kept_leading_stages_give_the_same_model(spark, sf_dir):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = documents.select("text", (F.col("lang") == "en").cast("int").alias("label"))
+    pipeline = models.text_classification("text")
+    kept, plain = models.fit_kept(pipeline, rows, ["text_hash", "label"]), pipeline.fit(rows)
+    assert len(kept.stages) == len(plain.stages)
+    assert list(kept.stages[-1].coefficients) == pytest.approx(list(plain.stages[-1].coefficients), rel=1e-6, abs=1e-9)
+    total = lambda model: model.transform(rows).agg(F.sum(coding.dense("probability")[1])).first()[0]
+    assert math.isclose(total(kept), total(plain), rel_tol=1e-9)
+
+
 def test_same_seed_same_forest(late):
     one, two = (models.forest(seed=5, trees=4).fit(late).toDebugString.split("\n")[1:] for _ in range(2))
     assert one == two
