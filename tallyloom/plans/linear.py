@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 

@@ -2,7 +2,7 @@ import math
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from tallyloom.functions.stopwords import ENGLISH_STOP_WORDS
