@@ -5,10 +5,28 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import packing, token_files
+from tallyloom.llm import packing, token_files, url_rules, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
+#: The rules that the URL query applies.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
+    return url_rules.apply_rules(table(spark, sf_dir, "pages"), rules)
+
+
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,5 +39,27 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op5_best_fit_packing, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_url_rules, op4_winnowing, op5_best_fit_packing, op10_token_files)}
+_RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+ORACLES: dict[str, str] = {
+    "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
+        SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path FROM pages),
+        fits AS (SELECT page_id, rule, verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, verdict DESC, rule) AS place
+        FROM urls, rules WHERE starts_with(path, substr(rule, strpos(rule, '/')))
+        AND (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN (SELECT * FROM fits WHERE place = 1) USING (page_id)""",
+    "op4_winnowing": r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+        i AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
+        iw AS (SELECT DISTINCT item_id, span, array_to_string(words[pos:pos + span - 1], ' ') AS window_text FROM (
+            SELECT *, unnest(range(1, len(words) - span + 2)) AS pos FROM (SELECT *, least(len(words), 10) AS span FROM i WHERE len(words) > 0))),
+        dw AS (SELECT doc_id, span, pos, array_to_string(words[pos:pos + span - 1], ' ') AS window_text FROM (
+            SELECT *, unnest(range(1, len(words) - span + 2)) AS pos FROM d, (SELECT DISTINCT span FROM iw) WHERE len(words) >= span)),
+        hits AS (SELECT * FROM dw WHERE window_text IN (SELECT window_text FROM iw)),
+        covered AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + span)) FROM hits) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (
+            SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits JOIN iw USING (window_text)) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0, false) AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+}
