@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyloom.llm.common import partitions, saved, text_slices
 
 #: Bytes of the runs whose least hash names the bucket.
-GRAM = 24
+GRAM = 32
 #: Different segments beyond which a bucket is cut into single strings.
 WIDE_BUCKET = 20_000
 #: Bytes of segments that one expansion takes at once; buckets are never parted by it.
@@ -72,7 +72,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def segments(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def segments(data: np.ndarray, length: int, buckets_only: bool = False) -> tuple[np.ndarray, ...]:
     """(bucket, content hash, start, strings) of the segments of one text of at least ``length`` bytes.
 
     The strings of a segment have their first least run at the same place, so no two of them are equal.
@@ -84,6 +84,9 @@ def segments(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.
             runs = _mixed(_windows_hash(own, GRAM, _BASE))
             least = _sliding_min((runs & ~_PLACE) | np.arange(len(runs), dtype=np.uint64), length - GRAM + 1) & _PLACE
             start = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+            if buckets_only:
+                out.append((runs[least[start].astype(np.int64)],))
+                continue
             strings = np.diff(np.concatenate([start, [len(least)]]))
             # first and last string cover the segment between them
             whole = _windows_hash(own, length, _BASE2)
@@ -113,19 +116,14 @@ def expand(parts: list[bytes], length: int) -> np.ndarray:
     for k in range(7):
         at = place + k
         key = key * 257 + np.where(at < end, text[np.minimum(at, n - 1)], 0)
-    short = end - place < 7
     known = 7
     while True:
-        order = np.lexsort((np.where(short, part, 0), key)) if known == 7 else np.argsort(key, kind="stable")
-        new = np.ones(n, bool)
+        order = np.argsort(key)
         sorted_key = key[order]
-        new[1:] = sorted_key[1:] != sorted_key[:-1]
-        if known == 7:
-            own = part[order]
-            new[1:] |= short[order][1:] & (own[1:] != own[:-1])
+        new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
-        if new.all() or known > int(sizes.max()):
+        if new.all():
             break
         at = place + known
         key = rank * (n + len(parts) + 1) + np.where(at <= end, rank[np.minimum(at, n - 1)] + len(parts), part)
@@ -154,7 +152,7 @@ def expand(parts: list[bytes], length: int) -> np.ndarray:
         if not len(rows):
             break
         target, char = step[rows], before[rows]
-        by = np.argsort(target, kind="stable")
+        by = np.argsort(target)
         target, owner, char = target[by], owner[by], char[by]
         cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (char[1:] != char[:-1])]))
         low, high = target[cut], target[np.concatenate([cut[1:] - 1, [len(target) - 1]])] + 1
@@ -172,7 +170,7 @@ def expand(parts: list[bytes], length: int) -> np.ndarray:
 def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", wide_bucket: int = WIDE_BUCKET) -> DataFrame:
     """(doc_id, mark, spans): per text that has any, the byte spans [start, end) covered by strings that also start earlier."""
     if not GRAM < length < 256:
-        raise ValueError("length must be above 24 and below 256")
+        raise ValueError("length must be above 32 and below 256")
     spark = docs.sparkSession
     texts = _texts(docs, id_column, text_column).where(F.octet_length("text") >= length)
 
@@ -185,8 +183,14 @@ def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id",
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["bucket", "content", "doc_id", "at"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text", 1 << 20):
+            own = [segments(np.frombuffer(text, np.uint8), length, True)[0] for text in batch["text"].to_pylist()]
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["bucket"])
+
     rows = texts.mapInArrow(split, _AT)
-    many = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    many = texts.select("text").mapInArrow(count, "bucket long").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     met = saved(rows.join(many, "bucket", "left_semi"), "met-segments")
     kinds = met.groupBy("bucket", "content").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
     kinds = saved(kinds, "segment-kinds")
