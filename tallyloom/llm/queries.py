@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import packing, repeats, token_files, url_rules, winnowing
+from tallyloom.llm import near, packing, repeats, token_files, toxicity, url_rules, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +19,17 @@ URL_RULES = (
 )
 
 
+#: Fixed value: documents of this remainder are held out.
+HELD_OUT = 2
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT
+    model = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select("row.doc_id", "score", "predicted").withColumn("held_out", held_out)
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
     return url_rules.apply_rules(table(spark, sf_dir, "pages"), rules)
@@ -38,13 +49,17 @@ def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_rules, op4_winnowing, op5_best_fit_packing, op7_suffix_repeats, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op7_suffix_repeats, op8_near_duplicates, op10_token_files)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
