@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import near, packing, repeats, token_files, toxicity, url_rules, winnowing
+from tallyloom.llm import near, order_fingerprint, packing, repeats, token_files, toxicity, url_rules, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -44,6 +44,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), 4096)
 
 
+def op6_order_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = repeats.without_repeats(table(spark, sf_dir, "documents"), 100)
     return judged.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -59,7 +63,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op7_suffix_repeats, op8_near_duplicates, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op10_token_files)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
