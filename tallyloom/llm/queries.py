@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import near, order_fingerprint, packing, repeats, token_files, toxicity, url_rules, winnowing
+from tallyloom.llm import near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -57,13 +57,18 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the host; documents of one language are a section of it, as ``/fr/`` is of a web site."""
+    return site_quality.site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
