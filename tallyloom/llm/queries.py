@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, winnowing
+from tallyloom.llm import near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +19,12 @@ URL_RULES = (
 )
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_payloads(warc.read_archives(spark, path))
+
+
 #: Fixed value: documents of this remainder are held out.
 HELD_OUT = 2
 
@@ -68,7 +74,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (

@@ -290,13 +290,14 @@ def _texts(docs: DataFrame, id_column: str, text_column: str, *kept) -> DataFram
     return docs.select(ids.alias("doc_id"), F.xxhash64(text).bitwiseAND((1 << 23) - 1).alias("mark"), text.cast("binary").alias("text"), *kept)
 
 
-def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", wide_bucket: int = WIDE_BUCKET) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", wide_bucket: int = WIDE_BUCKET, as_text: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` (its own columns in one struct ``row``), with what is left of their texts.
 
     Every byte is removed that a string of ``length`` bytes covers which also starts earlier (in a text of smaller id,
     or earlier in the same text; strings overlap, never reach over texts, and are judged on the input). Texts under
     one id that differ are separate, ordered by a 23-bit hash; rows that repeat id and text are one document and get
-    the same result; null ids come first; a null text is empty. Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept (bytes).
+    the same result; null ids come first; a null text is empty. Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept
+    (bytes; with ``as_text`` a string without the characters of which a removal left a part only).
     """
     found = find_repeats(docs, length, id_column, text_column, wide_bucket)
     rows = _texts(docs, id_column, text_column, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_column)).alias("row"))
@@ -316,8 +317,9 @@ def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id
                 sizes.append(len(text))
                 removed.append(gone)
                 runs.append(n)
-                kept.append(b"".join(left))
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
+                left = b"".join(left)
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())], ["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     joined = rows.join(found, ["doc_id", "mark"], "left").select("row", "text", "spans")
-    return joined.mapInArrow(strip, rows.select("row").selectExpr("*", "0L AS n_bytes", "0L AS n_removed", "0L AS n_spans", "CAST('' AS BINARY) AS kept").schema)
+    return joined.mapInArrow(strip, rows.select("row").selectExpr("*", "0L AS n_bytes", "0L AS n_removed", "0L AS n_spans", f"CAST('' AS {'STRING' if as_text else 'BINARY'}) AS kept").schema)

@@ -120,5 +120,5 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_
 def clean_documents(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id") -> DataFrame:
     """The rows of ``docs`` whose text shares no window with an item, with all their columns."""
     judged = find_contamination(docs.select(F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("key"), text_column), items, "key", text_column, item_column)
-    bad = judged.where("contaminated").select(F.col("key").alias("_contaminated_text")).distinct()
+    bad = saved(judged.where("contaminated").select(F.col("key").alias("_contaminated_text")).distinct(), "contaminated")
     return docs.join(bad, F.xxhash64(F.coalesce(docs[text_column], F.lit(""))) == bad["_contaminated_text"], "left_anti")
