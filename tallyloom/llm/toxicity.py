@@ -80,7 +80,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         total = sum(np.frombuffer(c, "<i4").astype(np.int64) for c in group["counts"].to_pylist())
         return pa.table({"label": group["label"][:1], "low": group["low"][:1], "n": pa.array([sum(group["n"].to_pylist())]), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
-    schema = "label int, low int, n long, counts binary"
+    schema = "label long, low long, n long, counts binary"
     parts = rows.mapInArrow(count, schema).groupBy("label", "low").applyInArrow(add, schema)
     counts, total = np.zeros((2, SLOTS), np.int64), [0, 0]
     for row in parts.toLocalIterator():  # 2 x SLOTS counts
