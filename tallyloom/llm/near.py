@@ -170,7 +170,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: s
     drawn = saved(rows.mapInArrow(draw, "doc long, a long, b long, bands array<long>"), "near-drawn")
     # a text is known by the least id that has it and a hash; copies stay out of what follows
     texts = saved(drawn.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")).select("a", "b", F.struct("doc", "a").alias("node"), "bands"), "near-texts")
-    members = texts.select("node", F.explode("bands").alias("bucket"))
+    members = texts.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").drop("n")
     members = saved(members.join(shared, "bucket"), "near-members")
 
@@ -207,18 +207,26 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: s
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string()))], ["doc", "a", "text"])
 
-    # the least text of each bucket against the others
-    pairs = saved(members.where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), "near-pairs")
-    links = saved(verified(pairs).distinct(), "near-links")
-    compared, at_once = pairs, 4
+    def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> DataFrame:
+        """Members of the buckets that hold several groups, with their own group and that of the bucket's first text."""
+        placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "first", F.coalesce("group", "node").alias("group"))
+        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first"), F.col("group"))).alias("main")).where("low <> high").select("bucket", "main")
+        return saved(placed.join(several, "bucket"), "near-placed")
+
+    # the least text of each bucket against the others: a few bands first, so that later ones find most texts in one group
+    nodes = texts.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    links = compared = saved(nodes, "near-links")
+    for bands_ in ((0,), (1, 2), tuple(range(3, BANDS))):
+        placed = placed_by(components(links, "u", "v").withColumnRenamed("root", "group"), bands_)
+        pairs = placed.where("group <> main").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
+        pairs = saved(pairs.join(compared, ["u", "v"], "left_anti"), "near-pairs")
+        compared, links = saved(compared.union(pairs), "near-compared"), saved(links.union(verified(pairs)).distinct(), "near-links")
+    # then texts outside the first one's group against all of other groups, some of them in each round
+    at_once = 1
     while True:
         groups = components(links, "u", "v").withColumnRenamed("root", "group")
-        placed = members.join(groups, "node", "left").select("bucket", "node", "first", F.coalesce("group", "node").alias("group"))
-        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("bucket")
-        placed = saved(placed.join(several, "bucket"), "near-placed")
-        main = placed.where("node = first").select("bucket", F.col("group").alias("main"))
-        outside = placed.join(main, "bucket").where("group <> main")
-        # texts outside the first one's group against all of other groups; some of them in each round
+        placed = placed_by(groups, tuple(range(BANDS)))
+        outside = placed.where("group <> main")
         turn = Window.partitionBy("bucket").orderBy("node")
         leaders = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once).select("bucket", F.col("node").alias("x"), F.col("group").alias("x_group"))
         across = placed.join(leaders, "bucket").where("group <> x_group").select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct()
