@@ -9,6 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+#: Number of different values of ``key_hash``.
+HASH_RANGE = 1 << 60
+
+
+def key_hash(key: Column | str, salt: str = "") -> Column:
+    """The first 60 bits of the MD5 of the key's text, a number from 0 to HASH_RANGE - 1; a null key counts as empty text."""
+    text = F.coalesce((F.col(key) if isinstance(key, str) else key).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), text)), 1, 15), 16, 10).cast("bigint")
+
+
 def key_bucket(key: Column | str, buckets: int, salt: str = "") -> Column:
     """Bucket 0..buckets-1 from the first 32 bits of the MD5 of the key's text.
 

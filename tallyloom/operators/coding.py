@@ -12,7 +12,7 @@ from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.operators.keyed import join_by_frequency
+from tallyloom.operators.keyed import fresh, join_by_frequency
 from tallyloom.sources.scratch import ensure_checkpoint_dir
 
 # Three-hour parts of the day.
@@ -98,9 +98,12 @@ def level_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def code_column(df: DataFrame, column: str, name: str, spread_by: Column) -> DataFrame:
-    """Add the code of ``column`` by a join that spreads frequent values; null stays null."""
-    codes = level_codes(df, column)
-    known = df.where(F.col(column).isNotNull()).withColumn("value", F.col(column).cast("string"))
-    coded = join_by_frequency(known, codes, "value", "n_rows", spread_by)
-    missing = df.where(F.col(column).isNull()).withColumn(name, F.lit(None).cast("double"))
-    return coded.select(*df.columns, F.col("code").alias(name)).unionByName(missing)
+    """Add the code of ``column`` by one join that spreads frequent values and nulls; null stays null.
+
+    All columns of ``df`` keep their values, whatever they are called; a column ``name`` is replaced.
+    """
+    key, rows, code = (fresh(c, df) for c in ("_level", "_level_rows", "_level_code"))
+    codes = level_codes(df, column).select(F.col("value").alias(key), F.col("n_rows").alias(rows), F.col("code").alias(code))
+    keyed = df.withColumn(key, F.col(f"`{column}`").cast("string"))
+    coded = join_by_frequency(keyed, codes, key, rows, spread_by, how="left")
+    return coded.select(*(f"`{c}`" for c in df.columns if c != name), F.col(code).alias(name))

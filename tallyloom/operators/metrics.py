@@ -86,11 +86,11 @@ def regression_report(df: DataFrame, label: str, prediction: str = "prediction")
 
 
 def auc_value(
-    df: DataFrame, label: str = "label", score: str = "rawPrediction", exact: bool = False
+    df: DataFrame, label: str = "label", score: str = "rawPrediction", exact: bool = True
 ) -> float:
     """Area under the ROC curve by Spark's evaluator.
 
-    ``exact`` keeps every distinct score instead of about 1000 bins. For a
+    ``exact=False`` merges the scores into about 1000 bins. For a
     single tree pass ``score='probability'``: its raw prediction is a row count
     of the leaf and does not rank rows.
     """

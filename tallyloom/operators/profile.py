@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.functions.keys import key_bucket
+from tallyloom.functions.keys import HASH_RANGE, key_hash
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -55,9 +55,9 @@ def bounded_sample(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int, key: str | None = None) -> DataFrame:
     """Each row with probability ``fraction``, without replacement.
 
-    With a key the membership follows the key's hash (in steps of 1/10000) and
-    survives any re-partitioning; without one it is Spark's seeded sample.
+    With a key the membership follows 60 bits of the key's hash and survives any
+    re-partitioning; without one it is Spark's seeded sample. A null key counts as empty text.
     """
     if key is None:
         return df.sample(False, fraction, seed)
-    return df.where(key_bucket(key, 10_000, salt=f"{seed}:") < round(fraction * 10_000))
+    return df.where(key_hash(key, salt=f"{seed}:") < F.lit(round(fraction * HASH_RANGE)))

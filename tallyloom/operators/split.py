@@ -36,9 +36,5 @@ def split_share(df: DataFrame, name: str = "part") -> DataFrame:
     The total is taken over the handful of already counted parts.
     """
     counted = df.groupBy(name).agg(F.count("*").alias("n_rows"))
-    parts = counted.agg(
-        F.sum("n_rows").alias("total"), F.collect_list(F.struct(name, "n_rows")).alias("parts")
-    )
-    return parts.select(F.inline("parts"), "total").select(
-        name, "n_rows", (F.col("n_rows") / F.col("total")).alias("share")
-    )
+    total = counted.agg(F.sum("n_rows")).scalar()
+    return counted.select(name, "n_rows", (F.col("n_rows") / total).alias("share"))

@@ -52,6 +52,12 @@ def code_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coding.code_column(orders, "o_custkey", "customer_code", F.col("o_orderkey"))
 
 
+def event_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes joined to rows that have a column ``value`` of their own."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return coding.code_column(events, "event_type", "type_code", F.col("event_id"))
+
+
 def onehot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dummies of integer columns as they are, several columns in one stage."""
     df = trips(spark, sf_dir).select("trip_id", "mon", "dow")
@@ -92,7 +98,7 @@ def category_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        dummy_lookup_org, dummy_lookup_type, distinct_vectors, index_codes, level_codes, code_column, onehot_raw,
+        dummy_lookup_org, dummy_lookup_type, distinct_vectors, index_codes, level_codes, code_column, event_codes, onehot_raw,
         hour_bucket, hour_dummies, assembled_features, category_features,
     )
 }
@@ -125,6 +131,10 @@ ORACLES = {
         (row_number() OVER (ORDER BY count(*) DESC, o_custkey::VARCHAR) - 1)::DOUBLE AS customer_code
         FROM orders GROUP BY o_custkey)
         SELECT o_orderkey, o_custkey, customer_code FROM orders JOIN levels USING (o_custkey)""",
+    "event_codes": """WITH levels AS (SELECT event_type,
+        (row_number() OVER (ORDER BY count(*) DESC, event_type) - 1)::DOUBLE AS type_code
+        FROM events GROUP BY event_type)
+        SELECT event_id, event_type, value, type_code FROM events JOIN levels USING (event_type)""",
     "onehot_raw": f"""WITH {TRIPS}, tops AS (SELECT max(mon) AS m, max(dow) AS d FROM trips)
         SELECT trip_id, {_dummy('mon', 'm')} AS mon_dummy, {_dummy('dow', 'd')} AS dow_dummy FROM trips, tops""",
     "hour_bucket": f"""WITH {TRIPS} SELECT least(floor(depart / 3), 7)::DOUBLE AS bucket, count(*) AS n_rows

@@ -12,7 +12,7 @@ from tallyloom.operators import coding, metrics, models, reports, split, tuning,
 from tallyloom.plans.checks import KM_TRIPS, bucket, in_train
 from tallyloom.plans.linear import flown
 from tallyloom.plans.trees import SEED
-from tallyloom.sources import cars, spread, table, trips
+from tallyloom.sources import cars, dealt, table, trips
 
 # Axes of the duration grid: strength and mix of the penalty.
 STRENGTHS = [0.01, 0.1, 1.0, 10.0]
@@ -96,14 +96,14 @@ def fuel_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late trips: feature subset rule by depth, ranked by the area under the curve."""
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
-    columns = spread(late.select("trip_id", "mon", "depart", "duration", "label"))
+    columns = dealt(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id")
     train, _ = split.stable_split(columns, "trip_id")
     model = models.forest(seed=SEED)
     points = tuning.grid(
         {model.featureSubsetStrategy: ["all", "onethird", "sqrt", "log2"], model.maxDepth: [2, 5, 10]}
     )
     found = tuning.grid_search(
-        [coding.assemble_stage(["mon", "depart", "duration"])], model, points, BinaryClassificationEvaluator(),
+        [coding.assemble_stage(["mon", "depart", "duration"])], model, points, BinaryClassificationEvaluator(numBins=0),
         split.with_fold(train, "trip_id", 5), "fold", 5,
     )
     return found.table(spark)
@@ -113,7 +113,7 @@ def _english(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = table(spark, sf_dir, "documents").select(
         "doc_id", "text", (F.col("lang") == "en").cast("int").alias("label")
     )
-    return split.stable_split(spread(documents), "doc_id")
+    return split.stable_split(dealt(documents, "doc_id"), "doc_id")
 
 
 def _classifier(train: DataFrame) -> PipelineModel:

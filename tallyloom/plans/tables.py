@@ -46,6 +46,13 @@ def bernoulli_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.bernoulli_sample(trips(spark, sf_dir), 0.25, seed=7, key="trip_id")
 
 
+def small_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line item in 4,000, by the hash of its key."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    keyed = lines.withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return profile.bernoulli_sample(keyed, 0.00025, seed=5, key="line").drop("line")
+
+
 def csv_comma_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_delimited(trips(spark, sf_dir), scratch_path(spark, "trips-csv"), sep=",")
     return read_delimited(spark, path, sep=",")
@@ -111,7 +118,7 @@ def complete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        row_count, condition_counts, column_profile, preview_ordered, bounded_sample, bernoulli_sample,
+        row_count, condition_counts, column_profile, preview_ordered, bounded_sample, bernoulli_sample, small_sample,
         csv_comma_inferred, csv_pipe_inferred, csv_semicolon_declared, csv_bad_cells,
         delay_wrangle, delay_rate, car_wrangle, car_measures, complete_rows,
     )
@@ -144,7 +151,10 @@ ORACLES = {
     + _profile_sql("trips", _TRIP_COLUMNS) + " UNION ALL " + _profile_sql("cars", _CAR_COLUMNS),
     "preview_ordered": f"WITH {TRIPS} SELECT * FROM trips ORDER BY depart, trip_id LIMIT 20",
     "bounded_sample": f"WITH {TRIPS} SELECT * FROM trips ORDER BY md5('0:' || trip_id::VARCHAR), trip_id LIMIT 12",
-    "bernoulli_sample": f"WITH {TRIPS} SELECT * FROM trips WHERE {bucket('trip_id', 10000, '7:')} < 2500",
+    "bernoulli_sample": f"""WITH {TRIPS} SELECT * FROM trips
+        WHERE ('0x' || substr(md5('7:' || trip_id::VARCHAR), 1, 15))::BIGINT < 288230376151711744""",
+    "small_sample": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+        WHERE ('0x' || substr(md5('5:' || l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR), 1, 15))::BIGINT < 288230376151712""",
     "csv_comma_inferred": f"WITH {TRIPS} SELECT * REPLACE (trip_id::INTEGER AS trip_id) FROM trips",
     "csv_pipe_inferred": f"WITH {CARS} SELECT * REPLACE (car_id::INTEGER AS car_id) FROM cars",
     "csv_semicolon_declared": r"""SELECT doc_id AS id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS label,

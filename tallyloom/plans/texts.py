@@ -8,11 +8,11 @@ from tallyloom.functions.textual import clean_message, clean_title, squeeze_spac
 from tallyloom.operators import text
 from tallyloom.operators.coding import dense
 from tallyloom.plans.checks import STOP_WORDS, tokens_cte
-from tallyloom.sources import spread, table
+from tallyloom.sources import table
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def clean_steps(spark: SparkSession, sf_dir: str) -> DataFrame:

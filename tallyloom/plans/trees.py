@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.operators import coding, metrics, models, reports, split, wrangle
 from tallyloom.plans.checks import DELAYS, TRIPS
 from tallyloom.plans.scores import auc_sql
-from tallyloom.sources import cars, spread, trips
+from tallyloom.sources import cars, dealt, trips
 
 SEED = 17
 
@@ -106,7 +106,7 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Model], DataFra
     """Tree, forest and boosted trees for late trips, and the held-out rows."""
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
     rows = coding.assemble_stage(["mon", "depart", "duration"]).transform(
-        spread(late.select("trip_id", "mon", "depart", "duration", "label"))
+        dealt(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id")
     )
     train, test = split.stable_split(rows, "trip_id")
     with models.cached(train):

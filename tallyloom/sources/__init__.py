@@ -1,13 +1,13 @@
 from tallyloom.sources.delimited import read_delimited, write_delimited
 from tallyloom.sources.scratch import ensure_checkpoint_dir, scratch_path
-from tallyloom.sources.tables import cars, spread, table, trips
+from tallyloom.sources.tables import cars, dealt, table, trips
 
 __all__ = [
     "cars",
+    "dealt",
     "ensure_checkpoint_dir",
     "read_delimited",
     "scratch_path",
-    "spread",
     "table",
     "trips",
     "write_delimited",

@@ -58,11 +58,9 @@ def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(CAR_KEY, *CARS_COLUMNS)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out an input of fewer splits than the cluster has cores; larger inputs stay as they are.
+def dealt(df: DataFrame, key: str, parts: int = 16) -> DataFrame:
+    """Rows in ``parts`` partitions by their key and in its order within them.
 
-    Meant for work that is much dearer than a shuffle of its input, such as text or tree fits.
-    Use it right after a scan: counting the splits of a plan with a shuffle would run that shuffle.
+    For fits with a random step, whose result would otherwise follow the number of input splits or cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parts, key).sortWithinPartitions(key)

@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallyloom.operators import coding
-from tallyloom.operators.keyed import join_by_frequency
+from tallyloom.operators.keyed import join_by_frequency, salted
 
 
 def _skewed(spark, n=3_000):
@@ -31,14 +31,25 @@ def test_code_column_keeps_every_row_and_null(spark):
     assert all(r.code == codes.get(r.v) for r in rows)
 
 
-def test_frequency_join_spreads_the_hot_key(spark):
-    df = _skewed(spark, 30_000).where("v IS NOT NULL")
+def test_frequency_join_spreads_long_and_many_hot_keys(spark):
+    """1,100 frequent keys of 2,000 characters: no salt of any of them has many more rows than asked for."""
+    df = spark.range(132_000).select("id", F.rpad(F.concat(F.lit("k"), (F.col("id") % 1_100).cast("string")), 2_000, "x").alias("v"))
     per_key = df.groupBy("v").agg(F.count("*").alias("n"))
-    with_salt = df.select("v", F.pmod(F.xxhash64("id"), F.lit(64)).alias("s"))
-    assert with_salt.where("v = 'hot'").groupBy("s").count().agg(F.max("count")).first()[0] < 10_000 / 64 * 1.6
-    joined = join_by_frequency(df, per_key, "v", "n", F.col("id"), hot_keys=2)
-    assert joined.count() == df.count()
-    assert joined.where("v = 'hot'").select("n").distinct().collect()[0].n == 10_000
+    marked, _, salt = salted(df, per_key, "v", "n", F.col("id"), rows_per_task=30)
+    sizes = marked.groupBy("v", salt).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 60 and sizes.groupBy("v").count().agg(F.min("count")).first()[0] == 4
+    joined = join_by_frequency(df, per_key, "v", "n", F.col("id"), rows_per_task=30)
+    assert joined.count() == df.count() and joined.where("n <> 120").isEmpty()
+
+
+def test_code_column_keeps_columns_of_any_name(spark):
+    rows = [(1, "a", 0.5, 7), (2, "a", 1.5, 8), (3, "b", 2.5, 9), (4, None, 3.5, 10)]
+    df = spark.createDataFrame(rows, "id long, kind string, value double, n_rows long").withColumn("_key_salt", F.lit("s")).withColumn("_level", F.lit("l"))
+    coded = coding.code_column(df, "kind", "code", F.col("id"))
+    assert coded.columns == [*df.columns, "code"]
+    assert sorted((r.id, r.value, r.n_rows, r._key_salt, r._level, r.code) for r in coded.collect()) == [
+        (1, 0.5, 7, "s", "l", 0.0), (2, 1.5, 8, "s", "l", 0.0), (3, 2.5, 9, "s", "l", 1.0), (4, 3.5, 10, "s", "l", None),
+    ]
 
 
 def test_frequency_join_also_without_broadcast(spark):

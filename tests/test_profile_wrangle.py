@@ -98,3 +98,9 @@ def test_random_split_needs_and_honours_its_seed(spark):
     assert first == [p.count() for p in split.random_split(df, 23)] and sum(first) == 1_000
     with pytest.raises(TypeError):
         split.random_split(df)
+
+
+def test_very_small_fractions_are_kept_as_they_are(spark):
+    n = profile.bernoulli_sample(spark.range(10_000_000), 1e-6, 11, "id").count()
+    assert 1 <= n <= 30
+    assert abs(profile.bernoulli_sample(spark.range(2_000_000), 0.00016, 11, "id").count() - 320) < 100

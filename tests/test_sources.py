@@ -1,9 +1,13 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tallyloom.sources import ensure_checkpoint_dir, read_delimited, scratch_path, spread, write_delimited
+from tallyloom.sources import dealt, ensure_checkpoint_dir, read_delimited, scratch_path, write_delimited
 
 SCHEMA = "id INT, text STRING, label INT"
 
@@ -52,32 +56,25 @@ def test_checkpoint_folder_is_set_once(spark):
     assert spark.sparkContext.getCheckpointDir() == first
 
 
-class _Cluster:
-    """The parts of a session that the scratch folder looks at."""
-
-    def __init__(self, folder):
-        self.conf = self
-        self.sparkContext = self
-        self.master = "spark://host:7077"
-        self.folder = folder
-
-    def get(self, key, default=None):
-        return self.folder if key == "spark.checkpoint.dir" else default
-
-    def getConf(self):
-        return self
-
-
-def test_cluster_uses_its_named_folder_and_never_a_local_one():
-    assert scratch_path(_Cluster("hdfs:///shared/"), "t").startswith("hdfs:///shared/t-")
-    with pytest.raises(RuntimeError):
-        scratch_path(_Cluster(None), "t")
-
-
-def test_spread_only_touches_inputs_with_few_splits(spark):
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100, numPartitions=32)
-    assert spread(many) is many
+def test_working_folder_is_gone_after_the_session(tmp_path):
+    """In a session of its own: the folder is below the named one, and removed when the JVM has ended."""
+    code = f"""
+from pyspark.sql import SparkSession
+from tallyloom.sources import ensure_checkpoint_dir, scratch_path
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+path = scratch_path(spark, "t")
+spark.range(3).write.parquet(path)
+assert path.startswith("file://{tmp_path}/shared/") and spark.read.parquet(path).count() == 3
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
+    assert not list((tmp_path / "shared").glob("_working*"))
+
+
+def test_dealt_does_not_follow_the_input_splits(spark):
+    one, other = (dealt(spark.range(500, numPartitions=n).toDF("k"), "k", 5) for n in (2, 9))
+    rows = [df.withColumn("p", F.spark_partition_id()).collect() for df in (one, other)]
+    assert rows[0] == rows[1]
 
 
 def test_declared_schema_scan_prunes_columns(spark, tmp_path):
