@@ -262,7 +262,8 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
 
 def _repeated(rows: list[tuple], length: int) -> pa.RecordBatch:
     """Spans of the strings that also start earlier, among the segments of whole buckets."""
-    rows = sorted(rows, key=lambda r: (r[1], r[2], r[3]))  # earliest first, so that the least place of a group is its first
+    # earliest first, so that the least place of a group is its first; repeated rows of a document have the same places
+    rows = sorted({(r[1], r[2], r[3]): r for r in rows}.values(), key=lambda r: (r[1], r[2], r[3]))
     parts = [r[4] for r in rows]
     group = expand(parts, length)
     at = np.flatnonzero(group >= 0)
