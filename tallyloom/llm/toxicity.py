@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.common import text_slices
+from tallyloom.llm.common import saved, text_slices
 
 #: Places of the hashed n-grams, a fixed number; n-gram sizes in bytes of the lower-cased text.
 SLOTS, SIZES = 1 << 20, (4, 5, 6)
@@ -65,6 +65,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """
     known = labels.where(F.col(label_column).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     rows = docs.where(F.col(text_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(known, "id").select("text", "label")
+    rows = saved(rows, "labelled")  # read three times below; the join sends all texts about
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stamps, counts, total = np.zeros(SLOTS, np.int32), np.zeros((2, SLOTS), np.int32), [0, 0]
