@@ -60,29 +60,41 @@ def _lowered(text: str | None) -> bytes:
 def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", ridge: float = 1.0, smoothing: float = 1.0, sample_per_class: int = SAMPLE_PER_CLASS) -> Model:
     """Learn from the labelled rows: counts from all, the regression from a sample of ``sample_per_class`` per class.
 
-    Rows without a text, a label of 0 or 1, or an id are passed over; a document's repeated labels count each.
+    Rows without a text, a label of 0 or 1, or an id are passed over; a document's repeated labels count each. The labelled texts are
+    joined and read once: each task hands on its counts and its least texts by hash, at most ``sample_per_class`` of a class.
     Without rows of both classes the model gives every text the share of label 1 (one half without labels).
     """
     known = labels.where(F.col(label_column).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
-    rows = docs.where(F.col(text_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(known, "id").select("text", "label")
-    rows = saved(rows, "labelled")  # read three times below; the join sends all texts about
+    texts = docs.where(F.col(text_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    rows = texts.join(known, "id").select("text", "label", F.xxhash64("text").alias("order"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def least(held: list[tuple[int, str]]) -> list[tuple[int, str]]:
+        return sorted(held)[:sample_per_class]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The counts of a task's texts, and those of them that the sample may take: the only pass over the texts."""
         stamps, counts, total = np.zeros(SLOTS, np.int32), np.zeros((2, SLOTS), np.int32), [0, 0]
+        held: list[list[tuple[int, str]]] = [[], []]
         for batch in text_slices(batches, "text"):
-            for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
+            for text, label, order in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["order"].to_pylist()):
                 counts[label][places_of(_lowered(text), stamps)] += 1
                 total[label] += 1
+                held[label].append((order, text))
+                if len(held[label]) > 2 * sample_per_class:
+                    held[label] = least(held[label])
         for label in (0, 1):
             for low in range(0, SLOTS if total[label] else 0, 1 << 15):
-                yield pa.RecordBatch.from_pylist([{"label": label, "low": low, "n": total[label], "counts": counts[label][low : low + (1 << 15)].tobytes()}])
+                yield pa.RecordBatch.from_pylist([{"label": label, "low": low, "n": total[label], "counts": counts[label][low : low + (1 << 15)].tobytes(), "order": None, "text": None}], kinds)
+            for order, text in least(held[label]):
+                yield pa.RecordBatch.from_pylist([{"label": label, "low": None, "n": None, "counts": None, "order": order, "text": text}], kinds)
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(c, "<i4").astype(np.int64) for c in group["counts"].to_pylist())
         return pa.table({"label": group["label"][:1], "low": group["low"][:1], "n": pa.array([sum(group["n"].to_pylist())]), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
-    schema = "label long, low long, n long, counts binary"
-    parts = rows.mapInArrow(count, schema).groupBy("label", "low").applyInArrow(add, schema)
+    kinds = pa.schema([("label", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("order", pa.int64()), ("text", pa.string())])
+    gathered = saved(rows.mapInArrow(gather, "label long, low long, n long, counts binary, order long, text string"), "labelled")
+    parts = gathered.where("low IS NOT NULL").select("label", "low", "n", "counts").groupBy("label", "low").applyInArrow(add, "label long, low long, n long, counts binary")
     counts, total = np.zeros((2, SLOTS), np.int64), [0, 0]
     for row in parts.toLocalIterator():  # 2 x SLOTS counts
         own = np.frombuffer(row["counts"], "<i8")
@@ -101,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 
     sample: list[tuple[int, np.ndarray]] = []
     for label in (0, 1):
-        chosen = rows.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(sample_per_class)
+        chosen = gathered.where(F.col("low").isNull() & (F.col("label") == label)).orderBy("order", "text").limit(sample_per_class).select("text", F.col("label").cast("int").alias("label"))
         sample += [(r["label"], np.frombuffer(r["places"], "<i4")) for r in chosen.mapInArrow(featured, "label int, places binary").toLocalIterator()]
     return Model(*_fitted(sample, ratio.astype(np.float32), total, ridge))
 
