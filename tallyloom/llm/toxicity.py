@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.llm.common import saved, text_slices
@@ -66,7 +67,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """
     known = labels.where(F.col(label_column).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     texts = docs.where(F.col(text_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    rows = texts.join(known, "id").select("text", "label", F.xxhash64("text").alias("order"))
+    # dealt by id at every size, so that the cost keeps its proportion to the input
+    rows = texts.join(known.hint("merge"), "id").select("text", "label", F.xxhash64("text").alias("order"))
 
     def least(held: list[tuple[int, str]]) -> list[tuple[int, str]]:
         return sorted(held)[:sample_per_class]
@@ -75,6 +77,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         """The counts of a task's texts, and those of them that the sample may take: the only pass over the texts."""
         stamps, counts, total = np.zeros(SLOTS, np.int32), np.zeros((2, SLOTS), np.int32), [0, 0]
         held: list[list[tuple[int, str]]] = [[], []]
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in text_slices(batches, "text"):
             for text, label, order in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), batch["order"].to_pylist()):
                 counts[label][places_of(_lowered(text), stamps)] += 1
@@ -84,12 +87,13 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
                     held[label] = least(held[label])
         for label in (0, 1):
             for low in range(0, SLOTS if total[label] else 0, 1 << 15):
-                yield pa.RecordBatch.from_pylist([{"label": label, "low": low, "n": total[label], "counts": counts[label][low : low + (1 << 15)].tobytes(), "order": None, "text": None}], kinds)
+                yield pa.RecordBatch.from_pylist([{"label": label, "low": low, "n": total[label], "counts": pack.compress(counts[label][low : low + (1 << 15)].tobytes()), "order": None, "text": None}], kinds)
             for order, text in least(held[label]):
                 yield pa.RecordBatch.from_pylist([{"label": label, "low": None, "n": None, "counts": None, "order": order, "text": text}], kinds)
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, "<i4").astype(np.int64) for c in group["counts"].to_pylist())
+        unpack = zstandard.ZstdDecompressor()
+        total = sum(np.frombuffer(unpack.decompress(c), "<i4").astype(np.int64) for c in group["counts"].to_pylist())
         return pa.table({"label": group["label"][:1], "low": group["low"][:1], "n": pa.array([sum(group["n"].to_pylist())]), "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
     kinds = pa.schema([("label", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("order", pa.int64()), ("text", pa.string())])
