@@ -14,9 +14,13 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 def confusion_wide(
     df: DataFrame, classes: list, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """One row per label and one count per predicted class, zeros included."""
+    """One row per label and one count per predicted class, zeros included.
+
+    ``predicted_other`` has the rest, nulls too, so that the counts add up to the label's rows.
+    """
     counts = [F.count_if(F.col(prediction) == F.lit(c)).alias(f"predicted_{c}") for c in classes]
-    return df.groupBy(label).agg(*counts)
+    known = F.coalesce(F.col(prediction).isin(classes), F.lit(False))
+    return df.groupBy(label).agg(*counts, F.count_if(~known).alias("predicted_other"))
 
 
 def pair_listing(

@@ -107,22 +107,32 @@ def stack_scores(fitted: dict[str, Model], rows: DataFrame, label: str = "label"
     return scored.select(F.inline(F.array(*each)))
 
 
-def category_stages(numeric: list[str], categories: list[str], features: str = "features") -> list:
-    """Codes, dummies and the feature vector: numeric columns first, then each category's dummies."""
-    indexer = index_stage(categories)
+def category_stages(
+    numeric: list[str], categories: list[str], features: str = "features", handle_invalid: str = "error"
+) -> list:
+    """Codes, dummies and the feature vector: numeric columns first, then each category's dummies.
+
+    ``handle_invalid`` holds for unseen and null levels: ``error``, ``skip`` (the row goes) or ``keep`` (a level of its own).
+    """
+    indexer = index_stage(categories, handle_invalid=handle_invalid)
     dummies = dummy_stage(indexer.getOutputCols(), [f"{c}_dummy" for c in categories])
     return [indexer, dummies, assemble_stage([*numeric, *dummies.getOutputCols()], features)]
 
 
-def hour_stages(hour: str = "depart", raw: list[str] | None = None) -> list:
-    """Three-hour bucket of ``hour`` with dummies, and dummies of integer columns as they are."""
-    bucket = bucket_stage(hour, f"{hour}_bucket")
+def hour_stages(hour: str = "depart", raw: list[str] | None = None, handle_invalid: str = "error") -> list:
+    """Three-hour bucket of ``hour`` with dummies, and dummies of integer columns as they are.
+
+    ``handle_invalid`` holds for hours outside the day and nulls.
+    """
+    bucket = bucket_stage(hour, f"{hour}_bucket", handle_invalid=handle_invalid)
     columns = [bucket.getOutputCol(), *(raw or [])]
     return [bucket, dummy_stage(columns, [f"{hour}_dummy", *[f"{c}_dummy" for c in raw or []]])]
 
 
-def tabular_regression(numeric: list[str], categories: list[str], model: LinearRegression) -> Pipeline:
-    return Pipeline(stages=[*category_stages(numeric, categories, model.getFeaturesCol()), model])
+def tabular_regression(
+    numeric: list[str], categories: list[str], model: LinearRegression, handle_invalid: str = "error"
+) -> Pipeline:
+    return Pipeline(stages=[*category_stages(numeric, categories, model.getFeaturesCol(), handle_invalid), model])
 
 
 def text_classification(text: str, label: str = "label", strength: float = 0.2, buckets: int = 1024) -> Pipeline:

@@ -30,7 +30,8 @@ def stop_word_usage(df: DataFrame, words: str = "tokens", stop_words: list[str]
     """How often each stop word occurs: at most one result row per list word, so counts
     are almost entirely made before the shuffle."""
     stop = ENGLISH_STOP_WORDS if stop_words is None else stop_words
-    used = _unfold(df, words, "word").where(F.col("word").isin(stop))
+    used = df.select(F.filter(words, lambda w: w.isin(stop)).alias("_used"))
+    used = _unfold(used, "_used", "word")
     return used.groupBy("word").agg(F.count("*").alias("n_uses"))
 
 
@@ -60,7 +61,7 @@ def term_tfidf(df: DataFrame, key: str, words: str = "terms") -> DataFrame:
 def clean_stage(text: str, name: str) -> SQLTransformer:
     """The cleaning of ``clean_message`` as a pipeline stage."""
     return SQLTransformer(
-        statement=f"SELECT *, regexp_replace({text}, r'{MESSAGE_NOISE}', ' ') AS {name} FROM __THIS__"
+        statement=f"SELECT *, regexp_replace(`{text}`, r'{MESSAGE_NOISE}', ' ') AS `{name}` FROM __THIS__"
     )
 
 

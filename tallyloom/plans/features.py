@@ -36,9 +36,25 @@ def distinct_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = trips(spark, sf_dir).select("trip_id", "carrier", "org")
-    coding.require_few_levels(df, ["carrier", "org"])
-    return coding.index_stage(["carrier", "org"]).fit(df).transform(df)
+    """Codes of two categories joined to every row, whatever their number of levels."""
+    coded = trips(spark, sf_dir).select("trip_id", "carrier", "org")
+    for column in ("carrier", "org"):
+        coded = coding.code_column(coded, column, f"{column}_idx", F.col("trip_id"))
+    return coded
+
+
+def unseen_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes learned without one carrier, applied to all trips: its rows get a code of their own (keep) or go (skip)."""
+    df = trips(spark, sf_dir).select("trip_id", "mile", "carrier")
+    coding.require_few_levels(df, ["carrier"])
+    absent = df.agg(F.max("carrier")).scalar()
+    seen = df.where(F.col("carrier") < absent)
+    found = []
+    for rule in ("keep", "skip"):
+        coded = Pipeline(stages=category_stages(["mile"], ["carrier"], handle_invalid=rule)).fit(seen).transform(df)
+        sizes = coded.groupBy("carrier", "carrier_idx", F.size(coding.dense("features")).alias("n_features"))
+        found.append(sizes.agg(F.count("*").alias("n_rows")).withColumn("rule", F.lit(rule)))
+    return found[0].unionByName(found[1])
 
 
 def level_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +114,7 @@ def category_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        dummy_lookup_org, dummy_lookup_type, distinct_vectors, index_codes, level_codes, code_column, event_codes, onehot_raw,
+        dummy_lookup_org, dummy_lookup_type, distinct_vectors, index_codes, unseen_levels, level_codes, code_column, event_codes, onehot_raw,
         hour_bucket, hour_dummies, assembled_features, category_features,
     )
 }
@@ -124,6 +140,13 @@ ORACLES = {
     "index_codes": f"""WITH {TRIPS}, {_codes('trips', 'carrier', 'carriers')}, {_codes('trips', 'org', 'orgs')}
         SELECT trip_id, carrier, org, carriers.code AS carrier_idx, orgs.code AS org_idx
         FROM trips JOIN carriers USING (carrier) JOIN orgs USING (org)""",
+    # kept: one code more, whose dummies are all zeros as it is the last; skipped: the last known code has none
+    "unseen_levels": f"""WITH {TRIPS}, {_codes("(SELECT * FROM trips WHERE carrier < (SELECT max(carrier) FROM trips))", "carrier", "known")},
+        sizes AS (SELECT carrier, count(*) AS n_rows FROM trips GROUP BY carrier),
+        n AS (SELECT count(*)::DOUBLE AS n FROM known)
+        SELECT carrier, coalesce(code, n) AS carrier_idx, (n + 1)::INTEGER AS n_features, sizes.n_rows, 'keep' AS rule
+        FROM sizes LEFT JOIN known USING (carrier), n
+        UNION ALL SELECT carrier, code, n::INTEGER, sizes.n_rows, 'skip' FROM sizes JOIN known USING (carrier), n""",
     "level_codes": """SELECT l_partkey::VARCHAR AS value, count(*) AS n_rows,
         (row_number() OVER (ORDER BY count(*) DESC, l_partkey::VARCHAR) - 1)::DOUBLE AS code
         FROM lineitem GROUP BY l_partkey""",

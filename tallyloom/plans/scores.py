@@ -109,7 +109,8 @@ def weighted_sql(view: str) -> str:
 ORACLES = {
     "confusion": f"WITH {_JUDGED} SELECT label, prediction, count(*) AS n_rows FROM judged GROUP BY ALL",
     "confusion_wide": f"""WITH {_TIMED} SELECT label, count(*) FILTER (WHERE prediction = 0) AS predicted_0,
-        count(*) FILTER (WHERE prediction = 1) AS predicted_1 FROM timed GROUP BY label""",
+        count(*) FILTER (WHERE prediction = 1) AS predicted_1,
+        count(*) FILTER (WHERE prediction NOT IN (0, 1)) AS predicted_other FROM timed GROUP BY label""",
     "binary_metrics": f"""WITH {_JUDGED}, counted AS (SELECT count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
         count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
         count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,

@@ -31,7 +31,7 @@ def condition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = {"trips": trips(spark, sf_dir), "cars": cars(spark, sf_dir)}
     profiles = [profile.column_profile(df).withColumn("table", F.lit(name)) for name, df in both.items()]
-    return reduce(DataFrame.unionByName, profiles).drop("nullable")
+    return reduce(DataFrame.unionByName, profiles)
 
 
 def preview_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,11 +131,12 @@ _CAR_COLUMNS = [
 
 
 def _profile_sql(view: str, columns: list[str]) -> str:
+    # Parquet columns may hold nulls; the origin is a choice of two words and can't
     rows = [
         f"""SELECT '{view}' AS "table", {i}::INTEGER AS position, '{c}' AS "column",
         (SELECT CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
                 WHEN 'DOUBLE' THEN 'double' END FROM {view} LIMIT 1) AS type,
-        count(*)::BIGINT AS n_rows, (count(*) - count({c}))::BIGINT AS n_null FROM {view}"""
+        '{c}' <> 'origin' AS nullable, count(*)::BIGINT AS n_rows, (count(*) - count({c}))::BIGINT AS n_null FROM {view}"""
         for i, c in enumerate(columns)
     ]
     return " UNION ALL ".join(rows)

@@ -66,7 +66,9 @@ def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, buckets, slot, tf, weight) of the filled slots of each document, for 32 and 1024 slots."""
     weighed = text.hashed_sizes(_documents(spark, sf_dir), "text", [32, 1024])
     pairs = F.arrays_zip(dense("text_hash").alias("tf"), dense("features").alias("weight"))
-    filled = weighed.select("doc_id", F.posexplode(pairs).alias("at", "pair")).where(F.col("pair.tf") > 0)
+    # empty slots go inside the row, before it is unfolded
+    placed = F.transform(pairs, lambda p, i: F.struct(i.alias("at"), p["tf"].alias("tf"), p["weight"].alias("weight")))
+    filled = weighed.select("doc_id", F.explode(F.filter(placed, lambda p: p["tf"] > 0)).alias("pair")).select("doc_id", "pair.at", "pair")
     small = F.col("at") < 32
     return filled.select(
         "doc_id",

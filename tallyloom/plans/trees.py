@@ -102,19 +102,20 @@ def stump_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.select("model", F.round("auc", 6).alias("auc"))
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Model], DataFrame]:
-    """Tree, forest and boosted trees for late trips, and the held-out rows."""
+def _fitted(spark: SparkSession, sf_dir: str, *names: str) -> tuple[dict[str, Model], DataFrame]:
+    """Tree, forest and boosted trees for late trips (or those named), and the held-out rows."""
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
     rows = coding.assemble_stage(["mon", "depart", "duration"]).transform(
         dealt(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id")
     )
     train, test = split.stable_split(rows, "trip_id")
     with models.cached(train):
-        fitted = {
-            "tree": models.tree(seed=SEED).fit(train),
-            "forest": models.forest(seed=SEED).fit(train),
-            "boosted": models.boosted(seed=SEED, rounds=10).fit(train),
+        estimators = {
+            "tree": models.tree(seed=SEED),
+            "forest": models.forest(seed=SEED),
+            "boosted": models.boosted(seed=SEED, rounds=10),
         }
+        fitted = {name: model.fit(train) for name, model in estimators.items() if not names or name in names}
     return fitted, test
 
 
@@ -142,7 +143,7 @@ def tree_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tree_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fitted, test = _fitted(spark, sf_dir)
+    fitted, test = _fitted(spark, sf_dir, "tree")
     return reports.rule_table(fitted["tree"], test)
 
 

@@ -46,7 +46,12 @@ def test_ratios_without_a_base_are_null(spark):
 
 def test_wide_confusion_shows_absent_classes(spark):
     df = spark.sql("SELECT * FROM VALUES (0, 0D), (1, 0D) AS t(label, prediction)")
-    assert [tuple(r) for r in metrics.confusion_wide(df, [0, 1]).orderBy("label").collect()] == [(0, 1, 0), (1, 1, 0)]
+    assert [tuple(r) for r in metrics.confusion_wide(df, [0, 1]).orderBy("label").collect()] == [(0, 1, 0, 0), (1, 1, 0, 0)]
+
+
+def test_wide_confusion_counts_every_row(spark):
+    df = spark.sql("SELECT * FROM VALUES (0, 0D), (0, 7D), (0, CAST(NULL AS DOUBLE)), (1, 1D) AS t(label, prediction)")
+    assert [tuple(r) for r in metrics.confusion_wide(df, [0, 1]).orderBy("label").collect()] == [(0, 1, 0, 2), (1, 0, 1, 0)]
 
 
 def test_regression_report_equals_the_evaluator(spark):
