@@ -49,11 +49,14 @@ def document_counts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
-def term_tfidf(df: DataFrame, key: str, words: str = "terms") -> DataFrame:
-    """Exact-term TF-IDF, idf = ln((m + 1) / (df + 1)) over m rows; ``key`` is unique per row."""
+def term_tfidf(df: DataFrame, key: str, words: str = "terms", rows_per_task: int = 1_000_000) -> DataFrame:
+    """Exact-term TF-IDF, idf = ln((m + 1) / (df + 1)) over m rows; ``key`` is unique per row.
+
+    Terms of more than ``rows_per_task`` rows are spread (see ``join_by_frequency``).
+    """
     m = df.agg(F.count("*").alias("m"))
     counts = term_counts(df, key, words)
-    joined = join_by_frequency(counts, document_counts(counts), "term", "df", F.col(key))
+    joined = join_by_frequency(counts, document_counts(counts), "term", "df", F.col(key), rows_per_task)
     idf = F.log((m.scalar() + 1) / (F.col("df") + 1))
     return joined.select(key, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
