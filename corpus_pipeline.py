@@ -21,10 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id stays of each class; of rows that repeat that id, one."""
-    classes = near.near_duplicate_classes(docs)
-    stays = classes.where("representative").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each class stays: that of least id, null first; of several texts of that id in a class, one."""
+    return near.one_of_each_class(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,13 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.llm.common import components, per_worker, saved, text_slices
 
 WORDS, BANDS, ROWS, SLOTS = 5, 12, 3, 1 << 20
 #: A pair of likeness s is a candidate with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9997 at 0.8.
 SAMPLES = BANDS * ROWS
+#: Stands for a null id: it comes before all others.
+NO_ID = -(1 << 63)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -141,6 +143,23 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return np.log1p(n / np.maximum(counts, 1)).astype(np.float32)
 
 
+def digest(text_column: str) -> Column:
+    """Tells texts of one id apart; a null text is empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")))
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, that stand for the classes: one row of each class.
+
+    It is that of least id; of texts of that id in the class, that of least digest; of rows that repeat id and text, one.
+    """
+    least = _members(docs, threshold, id_column, text_column).groupBy("group").agg(F.min(F.struct("doc", "own")).alias("least"))
+    kept = least.select(F.col("least.doc").alias("_kept"), F.col("least.own").alias("_kept_own"))
+    named = docs.withColumn("_doc", F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))).withColumn("_own", digest(text_column))
+    stays = named.join(kept, (F.col("_doc") == F.col("_kept")) & (F.col("_own") == F.col("_kept_own")), "left_semi")
+    return stays.dropDuplicates(["_doc", "_own"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: id, ``class_id`` (the least id of its class), ``representative`` (true for rows that stand for it).
 
@@ -149,25 +168,33 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: s
     five words are one shingle. A null id comes before all others; repeated rows get equal results, and rows that repeat an id with
     another text are texts of their own.
     """
+    own = lambda c: F.when(c != NO_ID, c)
+    known = _members(docs, threshold, id_column, text_column)
+    return known.select(own(F.col("doc")).alias(id_column), own(F.col("group.doc")).alias("class_id"), (F.struct("doc", "a") == F.col("group")).alias("representative"))
+
+
+def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str) -> DataFrame:
+    """(doc, a, own, group) per input row: its id, the hash and digest of its text, and the node that stands for its class."""
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text_column).cast("string").alias("text"))
+    rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("own", digest("text"))
     idf = spark.sparkContext.broadcast(document_frequencies(rows))  # 4 x SLOTS bytes
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
         for batch in text_slices(batches, "text"):
             out = []
-            for doc, text in zip(batch["doc"].to_pylist(), batch["text"].to_pylist()):
+            for doc, text, own in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), batch["own"].to_pylist()):
                 runs = shingles(text)
                 with np.errstate(over="ignore"):
                     ordered = _mixed(runs + np.arange(len(runs), dtype=np.uint64) * _BASE)
                     a, b = int(ordered.sum(dtype=np.uint64)) & ((1 << 63) - 1), int(_mixed(ordered).sum(dtype=np.uint64)) & ((1 << 63) - 1)
                 kinds, counts = np.unique(runs, return_counts=True)
-                out.append((doc, a, b, bands(kinds, counts.astype(np.float32) * table[_slots(kinds)]) if len(kinds) else []))
-            kinds_ = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds_)], ["doc", "a", "b", "bands"])
+                out.append((doc, own, a, b, bands(kinds, counts.astype(np.float32) * table[_slots(kinds)]) if len(kinds) else []))
+            kinds_ = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds_)], ["doc", "own", "a", "b", "bands"])
 
-    drawn = saved(rows.mapInArrow(draw, "doc long, a long, b long, bands array<long>"), "near-drawn")
+    drawn = saved(rows.mapInArrow(draw, "doc long, own binary, a long, b long, bands array<long>"), "near-drawn")
     # a text is known by the least id that has it and a hash; copies stay out of what follows
     texts = saved(drawn.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")).select("a", "b", F.struct("doc", "a").alias("node"), "bands"), "near-texts")
     members = texts.select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -239,6 +266,4 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: s
             links = saved(links.union(verified(pairs)).distinct(), "near-links")
         at_once *= 4
     found = texts.join(groups, "node", "left").select("a", "b", "node", F.coalesce("group", "node").alias("group"))
-    known = drawn.select("doc", "a", "b").join(found, ["a", "b"])
-    own = lambda c: F.when(c != -(1 << 63), c)
-    return known.select(own(F.col("doc")).alias(id_column), own(F.col("group.doc")).alias("class_id"), (F.struct("doc", "a") == F.col("group")).alias("representative"))
+    return drawn.select("doc", "own", "a", "b").join(found, ["a", "b"]).select("doc", "own", "a", "group")

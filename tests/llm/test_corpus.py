@@ -327,6 +327,17 @@ def test_pipeline_stages(spark, sf_dir):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_pipeline_keeps_one_text_of_each_class_whatever_the_ids(spark):
+    """Null ids and an id with two texts; a copy of a kept text with a larger id goes."""
+    line = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    given = [*((None, line(k)) for k in range(6)), (7, line(10)), (7, line(11)), (7, line(11)), (8, line(11)), (3, line(11)), (9, line(0)), (5, None)]
+    rows = spark.createDataFrame(given, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    after = corpus_pipeline.drop_near_duplicates(spark, rows.repartition(3), "")
+    expected = {*((None, line(k)) for k in range(6)), (7, line(10)), (3, line(11)), (5, None)}
+    got = [(r.doc_id, r.text) for r in after.collect()]
+    assert after.columns == rows.columns and set(got) == expected and len(got) == len(expected)
+
+
 def test_registered_queries():
     import __spark_entry__ as driver
 
