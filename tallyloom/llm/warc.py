@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.common import partitions, saved
 
-#: Bytes of a block, and of the part of a record that is searched for the end of its header.
-BLOCK, HEADER_LIMIT = 4 << 20, 1 << 16
+#: Bytes of a block, and of what is read at once beyond it while a header goes on; a header may have any length.
+BLOCK, AHEAD = 4 << 20, 1 << 16
 _MAGIC = b"WARC/1.0\r\n"
 _NO_SUCCESSOR = -1
 
@@ -84,23 +84,40 @@ def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url_
     return spark.read.parquet(f"{uri}/manifest")
 
 
-def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
+class _Held:
+    """The bytes of a file from ``start`` on: those of a block, and as many beyond it as were asked for."""
+
+    def __init__(self, source, size: int, start: int, stop: int) -> None:
+        self.source, self.size, self.start, self.data = source, size, start, bytearray()
+        self._read(min(size, stop + AHEAD) - start)
+
+    def _read(self, n: int) -> bool:
+        self.source.seek(self.start + len(self.data))
+        part = self.source.read(max(0, min(n, self.size - self.start - len(self.data))))
+        self.data += part
+        return bool(part)
+
+    def line_end(self, at: int) -> int:
+        """Place of the first line end from ``at`` on, read on for it as far as needed; -1 if the file has none."""
+        while (end := self.data.find(b"\r\n", at)) < 0:
+            at = max(at, len(self.data) - 1)
+            if not self._read(max(AHEAD, len(self.data))):
+                break
+        return end
+
+
+def _header(held: _Held, at: int) -> tuple[dict[str, str], int] | None:
     """Fields and first byte after the header of the record at ``at``; None if it isn't one."""
-    end = data.find(b"\r\n\r\n", at, at + HEADER_LIMIT)
-    if end < 0 or not data.startswith(_MAGIC, at):
+    if not held.data.startswith(_MAGIC, at):
         return None
-    fields = {}
-    for line in data[at + len(_MAGIC) : end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    fields, at = {}, at + len(_MAGIC)
+    while (end := held.line_end(at)) > at:
+        name, colon, value = bytes(held.data[at:end]).partition(b":")
         if not colon:
             return None
         fields[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return (fields, end + 4) if re.fullmatch(r"\d{1,18}", fields.get("content-length", "")) else None
-
-
-def _block(source, size: int, start: int, stop: int) -> bytes:
-    source.seek(start)
-    return source.read(min(size, stop + HEADER_LIMIT) - start)
+        at = end + 2
+    return (fields, at + 2) if end == at and re.fullmatch(r"\d{1,18}", fields.get("content-length", "")) else None
 
 
 def read_archives(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
@@ -120,14 +137,15 @@ def read_archives(spark: SparkSession, path: str, block: int = BLOCK) -> DataFra
             for file_no, file, size, start in zip(*(batch[c].to_pylist() for c in ("file_no", "file", "bytes", "start"))):
                 stop = min(size, start + block)
                 with store.open_input_file(f"{base}/{file}") as source:
-                    data = _block(source, size, start, stop)
-                following: dict[int, int] = {}
-                at = data.find(_MAGIC)
-                while 0 <= at < stop - start:
-                    if found := _header(data, at):
-                        after = start + found[1] + int(found[0]["content-length"]) + 4
-                        following[start + at] = after if after <= size else _NO_SUCCESSOR
-                    at = data.find(_MAGIC, at + 1)
+                    held = _Held(source, size, start, stop)
+                    following: dict[int, int] = {}
+                    last = stop - start - 1 + len(_MAGIC)
+                    at = held.data.find(_MAGIC, 0, last)
+                    while at >= 0:
+                        if found := _header(held, at):
+                            after = start + found[1] + int(found[0]["content-length"]) + 4
+                            following[start + at] = after if after <= size else _NO_SUCCESSOR
+                        at = held.data.find(_MAGIC, at + 1, last)
                 # last first: the first place beyond the block that a candidate leads to
                 for offset in sorted(following, reverse=True):
                     after = following[offset]
@@ -158,18 +176,18 @@ def read_archives(spark: SparkSession, path: str, block: int = BLOCK) -> DataFra
                 stop = min(size, start + block)
                 out = []
                 with store.open_input_file(f"{base}/{file}") as source:
-                    data = _block(source, size, start, stop)
+                    held = _Held(source, size, start, stop)
                     while offset < stop:
-                        parsed = _header(data, offset - start)
+                        parsed = _header(held, offset - start)
                         if not parsed:
                             break
                         fields, body = parsed
                         length = int(fields["content-length"])
                         if start + body + length + 4 > size:
                             break
-                        digest, left = hashlib.sha1(data[body : body + length]), body + length - len(data)
+                        digest, left = hashlib.sha1(held.data[body : body + length]), body + length - len(held.data)
                         if left > 0:  # the payload goes on beyond what is held
-                            source.seek(start + len(data))
+                            source.seek(start + len(held.data))
                             while left > 0:
                                 part = source.read(min(left, 1 << 20))
                                 digest.update(part)

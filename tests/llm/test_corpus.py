@@ -69,6 +69,17 @@ def test_warc_rejects_records_inside_payloads(spark, block):
     assert {tuple(r) for r in found} == expected and len(found) == len(rows)
 
 
+@pytest.mark.parametrize("block", [1000, 1 << 17, warc.BLOCK])
+def test_warc_reads_headers_of_any_length(spark, block):
+    """Urls of several hundred KB in the middle of an archive, and what follows them."""
+    urls = [f"http://h/{i}?" + "u" * n for i, n in enumerate((1, 65_000, 65_536, 700_000, 5, 300_000, 2))]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "w")
+    warc.write_archives(pages, path)
+    found = warc.read_archives(spark, path, block).collect()
+    assert sorted((r.page_id, r.url, r.own_digest) for r in found) == [(i, u, _digest(f"page {i}")) for i, u in enumerate(urls)]
+
+
 def test_warc_of_no_pages(spark):
     path = scratch_path(spark, "w")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
