@@ -32,7 +32,7 @@ EXPANSION_BYTES = 1 << 20
 _BASE, _BASE2, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 #: A text is hashed in stretches, so that a place in one has 24 bits.
 _STRETCH, _PLACE = 1 << 23, np.uint64((1 << 24) - 1)
-_AT = "bucket long, content long, doc_id long, at long"
+_AT = "bucket long, content long, doc_id long, mark long, at long"
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -95,9 +95,9 @@ def segments(data: np.ndarray, length: int, buckets_only: bool = False) -> tuple
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
-def _packed(mark: int, start: np.ndarray, strings: np.ndarray) -> np.ndarray:
-    """Text mark, start and number of strings in one long, ordered by text and start."""
-    return (np.int64(mark) << 40) | (start.astype(np.int64) << 8) | strings
+def _packed(start: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """Start and number of strings in one long, ordered by start."""
+    return (start.astype(np.int64) << 8) | strings
 
 
 def expand(parts: list[bytes], length: int) -> np.ndarray:
@@ -179,9 +179,9 @@ def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id",
             out = []
             for doc_id, mark, text in zip(batch["doc_id"].to_pylist(), batch["mark"].to_pylist(), batch["text"].to_pylist()):
                 bucket, content, start, strings = segments(np.frombuffer(text, np.uint8), length)
-                out.append((bucket.view(np.int64), content.view(np.int64), np.full(len(start), doc_id), _packed(mark, start, strings)))
+                out.append((bucket.view(np.int64), content.view(np.int64), np.full(len(start), doc_id), np.full(len(start), mark), _packed(start, strings)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["bucket", "content", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["bucket", "content", "doc_id", "mark", "at"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", 1 << 20):
@@ -192,19 +192,18 @@ def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id",
     rows = texts.mapInArrow(split, _AT)
     many = texts.select("text").mapInArrow(count, "bucket long").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     met = saved(rows.join(many, "bucket", "left_semi"), "met-segments")
-    kinds = met.groupBy("bucket", "content").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n"))
+    kinds = met.groupBy("bucket", "content").agg(F.min(F.struct("doc_id", "mark", "at")).alias("first"), F.count("*").alias("n"))
     kinds = saved(kinds, "segment-kinds")
     strings = F.col("at").bitwiseAND(255)
-    begin = F.shiftright(F.col("at"), 8).bitwiseAND((1 << 32) - 1)
-    mark = F.shiftright(F.col("at"), 40)
-    copies = met.join(kinds.where("n > 1").drop("n"), ["bucket", "content"]).where(F.struct("doc_id", "at") > F.col("first"))
-    spans = copies.select("doc_id", mark.alias("mark"), begin.alias("start"), (begin + strings + (length - 1)).alias("stop"))
+    begin = F.shiftright(F.col("at"), 8)
+    copies = met.join(kinds.where("n > 1").drop("n"), ["bucket", "content"]).where(F.struct("doc_id", "mark", "at") > F.col("first"))
+    spans = copies.select("doc_id", "mark", begin.alias("start"), (begin + strings + (length - 1)).alias("stop"))
 
     # buckets whose segments differ: the first of each kind goes on as text
     mixed = kinds.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = saved(
-        kinds.join(mixed, "bucket").select("bucket", "kinds", "first.doc_id", "first.at").select(
-            "bucket", "doc_id", mark.alias("mark"), begin.alias("start"), strings.alias("strings"), (F.col("kinds") > wide_bucket).alias("wide")
+        kinds.join(mixed, "bucket").select("bucket", "kinds", "first.doc_id", "first.mark", "first.at").select(
+            "bucket", "doc_id", "mark", begin.alias("start"), strings.alias("strings"), (F.col("kinds") > wide_bucket).alias("wide")
         ),
         "wanted-segments",
     )
@@ -288,7 +287,7 @@ def _texts(docs: DataFrame, id_column: str, text_column: str, *kept) -> DataFram
     """(doc_id, mark, text as bytes); the mark tells texts of one id apart. A null id comes before all others."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     ids = F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63)))
-    return docs.select(ids.alias("doc_id"), F.xxhash64(text).bitwiseAND((1 << 23) - 1).alias("mark"), text.cast("binary").alias("text"), *kept)
+    return docs.select(ids.alias("doc_id"), F.xxhash64(text).alias("mark"), text.cast("binary").alias("text"), *kept)
 
 
 def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text", wide_bucket: int = WIDE_BUCKET, as_text: bool = False) -> DataFrame:
@@ -296,7 +295,7 @@ def without_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id
 
     Every byte is removed that a string of ``length`` bytes covers which also starts earlier (in a text of smaller id,
     or earlier in the same text; strings overlap, never reach over texts, and are judged on the input). Texts under
-    one id that differ are separate, ordered by a 23-bit hash; rows that repeat id and text are one document and get
+    one id that differ are separate, told apart and ordered by a 64-bit hash; rows that repeat id and text are one document and get
     the same result; null ids come first; a null text is empty. Adds n_bytes, n_removed, n_spans (maximal removed runs) and kept
     (bytes; with ``as_text`` a string without the characters of which a removal left a part only).
     """

@@ -235,6 +235,19 @@ def test_repeats_against_brute_force(spark, docs, texts, wide):
     assert repeats.without_repeats(given.limit(0), 100).isEmpty()
 
 
+def test_repeats_of_many_texts_without_id(spark):
+    """Texts whose hashes agree in 23 bits keep their own spans; each has a passage twice, at places of its own."""
+    sha = lambda c: F.sha2(F.concat(F.col("id").cast("string"), F.lit(c)), 256)
+    twice = F.concat(sha("a"), sha("b"))
+    made = spark.range(20_000).select(F.concat(sha("c"), F.expr("substring(sha2(concat(id, 'd'), 256), 1, CAST(id % 60 AS INT))"), twice, sha("e"), twice).alias("text"))
+    made = made.withColumn("low", F.xxhash64("text").bitwiseAND((1 << 23) - 1))
+    twins = made.groupBy("low").agg(F.collect_list("text").alias("own")).where("size(own) > 1 AND length(own[0]) <> length(own[1])")
+    texts = [t for r in twins.collect() for t in r.own]
+    assert len(texts) > 10
+    rows = repeats.without_repeats(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"), 100).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows) == sorted(_kept([(None, t)], 100)[None] for t in texts)
+
+
 def test_near_duplicate_classes_against_all_pairs(docs, texts, empty):
     got = {r.doc_id: r.class_id for r in near.near_duplicate_classes(docs).collect()}
     counts = np.zeros(near.SLOTS)
