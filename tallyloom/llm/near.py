@@ -1,8 +1,9 @@
 """Near-duplicate texts by improved consistent weighted sampling over TF-IDF shingles.
 
-A text is its shingles of five words, each of weight count x inverse document frequency. Frequencies are counted
-over all texts in ``SLOTS`` hashed places, a fixed number, as hashed TF-IDF does; two texts' likeness is the weighted
-Jaccard similarity of their shingles. ``BANDS`` x ``ROWS`` consistent samples are drawn from each text: two texts draw
+A text is its shingles of five words, each of weight count x inverse document frequency, ln(1 + texts / texts with the
+shingle). Frequencies are exact: texts are dealt into batches, each asks for the frequencies of the shingles in it, and
+the answers (only those above what the batch itself holds) go back to it. Two texts' likeness is the weighted Jaccard
+similarity of their shingles. ``BANDS`` x ``ROWS`` consistent samples are drawn from each text: two texts draw
 the same sample with a probability equal to their likeness. Texts that agree in all samples of a band are
 candidates, and every link is verified on the whole texts.
 
@@ -16,13 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.common import components, per_worker, saved, text_slices
+from tallyloom.llm.common import components, partitions, per_worker, saved, text_slices
 
 WORDS, BANDS, ROWS, SLOTS = 5, 12, 3, 1 << 20
 #: A pair of likeness s is a candidate with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9997 at 0.8.
 SAMPLES = BANDS * ROWS
+#: Bytes of text whose shingles one part of the frequencies holds, about.
+PART_BYTES = 16 << 20
 #: Stands for a null id: it comes before all others.
 NO_ID = -(1 << 63)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -75,11 +79,17 @@ def _slots(kinds: np.ndarray) -> np.ndarray:
 
 
 def weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different shingles in order of hash, and their weights."""
+    """Different shingles in order of hash, and their weights by a table of ``SLOTS`` places; for small tables only."""
     kinds, counts = np.unique(shingles(text), return_counts=True)
     return kinds, counts.astype(np.float32) * idf[_slots(kinds)]
 
 
+def _weights(text: str, idf: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles in order of hash, and their weights by the inverse document frequency of each."""
+    kinds, counts = np.unique(shingles(text), return_counts=True)
+    return kinds, counts.astype(np.float32) * np.frombuffer(idf, "<f4")
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity; 1 for two texts without shingles."""
     at = np.searchsorted(b[0], a[0])
@@ -119,28 +129,92 @@ def bands(kinds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def document_frequencies(rows: DataFrame) -> np.ndarray:
-    """Inverse document frequencies, ln(1 + texts / texts with a shingle of the place), of all places."""
+def _asked(texts: list[str], copies: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Different shingles of each text with their counts, and those of all of them in order of hash with the number of rows that have them."""
+    own = [np.unique(shingles(t), return_counts=True) for t in texts]
+    every = np.concatenate([*(o[0] for o in own), np.zeros(0, np.uint64)])
+    kinds, at = np.unique(every, return_inverse=True)
+    held = np.bincount(at, np.repeat(np.array(copies, np.float64), [len(o[0]) for o in own]), len(kinds)).astype(np.int64)
+    return own, kinds, held
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(SLOTS, np.int32), 0
-        for batch in text_slices(batches, "text"):
-            for text in batch["text"].to_pylist():
-                counts[np.unique(_slots(shingles(text)))] += 1
-                n += 1
-        for low in range(0, SLOTS if n else 0, 1 << 14):
-            yield pa.RecordBatch.from_pylist([{"low": low, "n": n, "counts": counts[low : low + (1 << 14)].tobytes()}])
 
-    def add(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, "<i4").astype("<i8") for c in group["counts"].to_pylist())
-        return pa.table({"low": group["low"][:1], "n": pa.array([sum(group["n"].to_pylist())]), "counts": pa.array([total.tobytes()], pa.binary())})
+def with_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
+    """(own, doc, mark, idf, bands) per text: the inverse document frequency of each of its shingles in order of hash (floats), and its bands.
 
-    schema = "low long, n long, counts binary"
-    counts, n = np.zeros(SLOTS, np.int64), 0
-    for row in rows.select("text").mapInArrow(count, schema).groupBy("low").applyInArrow(add, schema).toLocalIterator():
-        counts[row["low"] : row["low"] + (1 << 14)] = np.frombuffer(row["counts"], "<i8")
-        n = row["n"]
-    return np.log1p(n / np.maximum(counts, 1)).astype(np.float32)
+    ``texts``: batch, own, doc, mark, copies, text; ``n`` rows in all. A part holds the frequencies of a range of hashes.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, table in _by_batch(batches):
+            _, kinds, held = _asked(table["text"].to_pylist(), table["copies"].to_pylist())
+            part = ((kinds >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+            cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(kinds) else np.zeros(0, np.int64)
+            pieces = list(zip(cut.tolist(), [*cut[1:].tolist(), len(kinds)]))
+            blobs = ([x[low:high].tobytes() for low, high in pieces] for x in (kinds, held))
+            yield pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int64)), pa.array([number] * len(cut), pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)], _ASKED)
+
+    def answer(group: pa.Table) -> pa.Table:
+        kinds = [np.frombuffer(b, "<u8") for b in group["kinds"].to_pylist()]
+        held = [np.frombuffer(b, "<i8") for b in group["rows"].to_pylist()]
+        found, at = np.unique(np.concatenate(kinds), return_inverse=True)
+        total = np.bincount(at, np.concatenate(held), len(found)).astype(np.int64)  # exact below 2^53
+        out, low = [], 0
+        for number, k, h in zip(group["batch"].to_pylist(), kinds, held):
+            all_rows = total[at[low : low + len(k)]]
+            more = all_rows > h
+            low += len(k)
+            if more.any():
+                out.append((number, k[more].tobytes(), all_rows[more].tobytes()))
+        return pa.table([pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["batch", "kinds", "rows"])
+
+    def use(own: pa.Table, answers: pa.Table) -> pa.Table:
+        idf, drawn = [], []
+        each, kinds, held = _asked(own["text"].to_pylist(), own["copies"].to_pylist())
+        for k, rows in zip(answers["kinds"].to_pylist(), answers["rows"].to_pylist()):
+            held[np.searchsorted(kinds, np.frombuffer(k, "<u8"))] = np.frombuffer(rows, "<i8")
+        for mine, counts in each:
+            value = np.log1p(n / held[np.searchsorted(kinds, mine)]).astype("<f4")
+            idf.append(value.tobytes())
+            drawn.append(bands(mine, counts.astype(np.float32) * value) if len(mine) else _WORDLESS)
+        return pa.table([own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(drawn, pa.list_(pa.int64()))], ["own", "doc", "mark", "idf", "bands"])
+
+    answers = texts.mapInArrow(ask, "part long, batch long, kinds binary, rows binary").groupBy("part").applyInArrow(answer, "batch long, kinds binary, rows binary")
+    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, bands array<long>")
+
+
+_ASKED = ["part", "batch", "kinds", "rows"]
+#: The band of all texts without words.
+_WORDLESS = [0]
+
+
+def _by_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of one number that stand together in an Arrow batch."""
+    for batch in batches:
+        numbers = batch["batch"].to_numpy(zero_copy_only=False)
+        cut = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        for low, high in zip(cut, cut[1:]):
+            if high > low:
+                yield int(numbers[low]), batch.slice(low, high - low)
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the number of their batch: neighbours of 4 MB together, or one text."""
+    base = TaskContext.get().partitionId() << 33
+    for k, batch in enumerate(_merged(batches)):
+        yield pa.RecordBatch.from_arrays([pa.array([base + k] * len(batch), pa.int64()), *batch.columns], ["batch", *batch.schema.names])
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of 4 MB of text and more put together, larger ones cut."""
+    held, size = [], 0
+    for batch in text_slices(batches, "text"):
+        held.append(batch)
+        size += batch["text"].nbytes
+        if size >= 4 << 20:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def digest(text_column: str) -> Column:
@@ -163,77 +237,51 @@ def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str =
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: id, ``class_id`` (the least id of its class), ``representative`` (true for rows that stand for it).
 
-    Classes are the connected groups of verified links of weighted Jaccard similarity >= ``threshold``. Texts with the same shingles
-    in the same order are copies; so are all null, empty and wordless texts, which form one class. Texts of fewer than
+    Classes are the connected groups of verified links of weighted Jaccard similarity >= ``threshold``. All null, empty and
+    wordless texts form one class. Texts of fewer than
     five words are one shingle. A null id comes before all others; repeated rows get equal results, and rows that repeat an id with
     another text are texts of their own.
     """
     own = lambda c: F.when(c != NO_ID, c)
     known = _members(docs, threshold, id_column, text_column)
-    return known.select(own(F.col("doc")).alias(id_column), own(F.col("group.doc")).alias("class_id"), (F.struct("doc", "a") == F.col("group")).alias("representative"))
+    return known.select(own(F.col("doc")).alias(id_column), own(F.col("group.doc")).alias("class_id"), (F.struct("doc", "mark") == F.col("group")).alias("representative"))
 
 
 def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str) -> DataFrame:
-    """(doc, a, own, group) per input row: its id, the hash and digest of its text, and the node that stands for its class."""
+    """(doc, mark, own, group) per input row: its id, the hash and digest of its text, and the node that stands for its class."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("own", digest("text"))
-    idf = spark.sparkContext.broadcast(document_frequencies(rows))  # 4 x SLOTS bytes
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = idf.value
-        for batch in text_slices(batches, "text"):
-            out = []
-            for doc, text, own in zip(batch["doc"].to_pylist(), batch["text"].to_pylist(), batch["own"].to_pylist()):
-                runs = shingles(text)
-                with np.errstate(over="ignore"):
-                    ordered = _mixed(runs + np.arange(len(runs), dtype=np.uint64) * _BASE)
-                    a, b = int(ordered.sum(dtype=np.uint64)) & ((1 << 63) - 1), int(_mixed(ordered).sum(dtype=np.uint64)) & ((1 << 63) - 1)
-                kinds, counts = np.unique(runs, return_counts=True)
-                out.append((doc, own, a, b, bands(kinds, counts.astype(np.float32) * table[_slots(kinds)]) if len(kinds) else []))
-            kinds_ = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds_)], ["doc", "own", "a", "b", "bands"])
-
-    drawn = saved(rows.mapInArrow(draw, "doc long, own binary, a long, b long, bands array<long>"), "near-drawn")
+    rows = rows.select("doc", F.xxhash64("text").alias("mark"), digest("text").alias("own"), "text")
     # a text is known by the least id that has it and a hash; copies stay out of what follows
-    texts = saved(drawn.groupBy("a", "b").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands")).select("a", "b", F.struct("doc", "a").alias("node"), "bands"), "near-texts")
-    members = texts.select("node", F.posexplode("bands").alias("band", "bucket"))
+    whole = rows.groupBy("own").agg(F.min("doc").alias("doc"), F.first("mark").alias("mark"), F.count("*").alias("copies"), F.first("text").alias("text"))
+    texts = saved(whole.select("own", "doc", "mark", "copies", "text").mapInArrow(_dealt, "batch long, own binary, doc long, mark long, copies long, text string"), "near-texts")
+    n, size = texts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(partitions(spark), size // PART_BYTES)
+    weighed = saved(with_frequencies(texts, n, parts), "near-weighed")
+    node = F.struct("doc", "mark").alias("node")
+    members = weighed.select(node, F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").drop("n")
     members = saved(members.join(shared, "bucket"), "near-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) that are alike. Only texts in pairs are sent about."""
         needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-        ids = needed.select("node", F.col("node.doc").alias("doc")).join(drawn.select("doc", "a", "b").distinct().select("doc", F.struct("doc", "a").alias("node"), "b"), ["doc", "node"], "left_semi")
-        held = ids.join(rows.select("doc", "text"), "doc").select("node", "text").mapInArrow(own_text, "doc long, a long, text string")
-        held = held.select(F.struct("doc", "a").alias("node"), "text")
+        needed = needed.select(F.col("node.doc").alias("doc"), F.col("node.mark").alias("mark"))
+        held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, F.struct("text", "idf").alias("held"))
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, last = idf.value, (None, None)
+            last = (None, None)
             for batch in batches:
                 keep = []
                 for left, right in zip(batch["left"].to_pylist(), batch["right"].to_pylist()):
                     if left != last[0]:
-                        last = (left, weighted(left, table))
-                    keep.append(likeness(last[1], weighted(right, table)) >= threshold)
+                        last = (left, _weights(**left))
+                    keep.append(likeness(last[1], _weights(**right)) >= threshold)
                 yield pa.RecordBatch.from_arrays([batch["u"], batch["v"]], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-        both = pairs.join(held.select(F.col("node").alias("u"), F.col("text").alias("left")), "u").join(held.select(F.col("node").alias("v"), F.col("text").alias("right")), "v")
+        both = pairs.join(held.select(F.col("node").alias("u"), F.col("held").alias("left")), "u").join(held.select(F.col("node").alias("v"), F.col("held").alias("right")), "v")
         return both.select("u", "v", "left", "right").mapInArrow(compare, pairs.schema)
 
-    def own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a repeated id with another text than the node's go."""
-        for batch in text_slices(batches, "text"):
-            out = []
-            for node, text in zip(batch["node"].to_pylist(), batch["text"].to_pylist()):
-                runs = shingles(text)
-                with np.errstate(over="ignore"):
-                    a = int(_mixed(runs + np.arange(len(runs), dtype=np.uint64) * _BASE).sum(dtype=np.uint64)) & ((1 << 63) - 1)
-                if a == node["a"]:
-                    out.append((node["doc"], node["a"], text))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.string()))], ["doc", "a", "text"])
-
     def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> DataFrame:
         """Members of the buckets that hold several groups, with their own group and that of the bucket's first text."""
         placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "first", F.coalesce("group", "node").alias("group"))
@@ -241,7 +289,7 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
         return saved(placed.join(several, "bucket"), "near-placed")
 
     # the least text of each bucket against the others: a few bands first, so that later ones find most texts in one group
-    nodes = texts.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    nodes = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     links = compared = saved(nodes, "near-links")
     for bands_ in ((0,), (1, 2), tuple(range(3, BANDS))):
         placed = placed_by(components(links, "u", "v").withColumnRenamed("root", "group"), bands_)
@@ -265,5 +313,5 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
             compared = saved(compared.union(pairs), "near-compared")
             links = saved(links.union(verified(pairs)).distinct(), "near-links")
         at_once *= 4
-    found = texts.join(groups, "node", "left").select("a", "b", "node", F.coalesce("group", "node").alias("group"))
-    return drawn.select("doc", "own", "a", "b").join(found, ["a", "b"]).select("doc", "own", "a", "group")
+    found = weighed.select("own", node).join(groups, "node", "left").select("own", F.coalesce("group", "node").alias("group"))
+    return rows.select("doc", "mark", "own").join(found, "own")

@@ -267,6 +267,17 @@ def test_near_duplicate_classes_against_all_pairs(docs, texts, empty):
     assert near.near_duplicate_classes(empty).isEmpty()
 
 
+def test_unrelated_texts_do_not_change_a_likeness(spark):
+    """By exact frequencies the pair has 5 ln 6 / (5 ln 6 + ln 11) = 0.789; a shingle in the last one's hashed place would make it 0.833."""
+    words = [f"w{i}" for i in range(10)]
+    place = near._slots(near.shingles(" ".join(words[5:])))[0]
+    found = np.flatnonzero(near._slots(near.shingles(" ".join(f"q{i}" for i in range(12_000_000)))) == place)
+    strange = " ".join(f"q{i}" for i in range(found[0], found[0] + 5))
+    texts = [" ".join(words), " ".join(words[:9]), strange, *(f"a{k} b c d e" for k in range(7))]
+    got = {r.doc_id: r.class_id for r in near.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(10)}
+
+
 def test_site_quality_on_held_out_labels(spark, mid_dir, docs, empty):
     every, labels = spark.read.parquet(f"{mid_dir}/documents.parquet"), spark.read.parquet(f"{mid_dir}/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
