@@ -33,7 +33,7 @@ def cut_into_pieces(docs: DataFrame, tokenizer: str, capacity: int, id_column: s
         seen = np.zeros(capacity + 1, np.int64)
         for batch in text_slices(batches, "text"):
             out = []
-            for doc_id, ids in zip(batch["id"].to_pylist(), encode(batch["text"].to_pylist())):
+            for doc_id, ids in zip(batch["id"].to_pylist(), encode(batch["text"])):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]

@@ -129,7 +129,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_column: str
         def encoded():
             batch = first
             while batch is not None:
-                yield batch["id"].to_pylist(), [t + end for t in encode(batch["text"].to_pylist())]
+                yield batch["id"].to_pylist(), [t + end for t in encode(batch["text"])]
                 batch = next(slices, None)
 
         store, base = pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
