@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
+from tallyloom.llm import alignment, line_dedup, near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: The rules that the URL query applies.
 URL_RULES = (
     ("org/", "allow"),
@@ -74,7 +75,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files)}
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
+    return judged.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = [public_tokenizers.path(name) for name in (BYTE_BPE, PIECE_BPE)]
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *vocabularies)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files, op12_line_dedup, op13_alignment)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
@@ -97,4 +108,9 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0, false) AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op12_line_dedup": r"""WITH lines AS (SELECT doc_id, line, pos, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, unnest(own) AS line, unnest(range(len(own))) AS pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS own FROM documents))),
+        shared AS (SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+        SELECT doc_id, count(*) AS n_lines, count(keeper) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keeper IS NULL), '')) AS kept_sha256
+        FROM (SELECT lines.*, CASE WHEN doc_id <> keeper THEN keeper END AS keeper FROM lines LEFT JOIN shared USING (key)) GROUP BY doc_id""",
 }
