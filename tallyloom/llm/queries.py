@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm import alignment, line_dedup, near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
+from tallyloom.llm import alignment, line_dedup, near, order_fingerprint, packing, repeats, site_quality, token_files, toxicity, turns, url_rules, warc, winnowing
 from tallyloom.sources import scratch_path, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -75,6 +75,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path)
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations, _ = turns.repair(turns.damaged(table(spark, sf_dir, "conversations")))
+    return conversations
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
     return judged.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -85,7 +90,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *vocabularies)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files, op12_line_dedup, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_toxicity, op3_url_rules, op4_winnowing, op5_best_fit_packing, op6_order_fingerprints, op7_suffix_repeats, op8_near_duplicates, op9_site_quality, op10_token_files, op11_turn_repair, op12_line_dedup, op13_alignment)}
 _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
 ORACLES: dict[str, str] = {
     "op3_url_rules": f"""WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}), urls AS (
