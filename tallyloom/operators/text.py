@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StopWordsRemover, Tokenizer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, StopWordsRemover, Tokenizer
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.stopwords import ENGLISH_STOP_WORDS
-from tallyloom.functions.textual import MESSAGE_NOISE, clean_message, terms, tokens
-from tallyloom.operators.keyed import join_by_frequency
+from tallyloom.functions.textual import MESSAGE_NOISE, TITLE_COMMA, TITLE_HYPHEN, clean_message, terms, tokens
+from tallyloom.functions.vectors import filled
+from tallyloom.operators.keyed import fresh, join_by_frequency
+from tallyloom.sources.scratch import scratch_path
+
+#: The cleaning rules as SQL, for pipeline stages: of messages (``clean_message``) and of titles (``clean_title``).
+CLEANING = {
+    "message": "regexp_replace({0}, r'" + MESSAGE_NOISE + "', ' ')",
+    "title": "regexp_replace(regexp_replace({0}, r'" + TITLE_COMMA + "', ''), r'" + TITLE_HYPHEN + "', ' ')",
+}
 
 
-def with_tokens(df: DataFrame, text: str, name: str = "tokens") -> DataFrame:
-    """Cleaned text as tokens. The cleaned text is a column of its own while both of its uses need it."""
-    return df.withColumn("_clean", clean_message(text)).withColumn(name, tokens("_clean")).drop("_clean")
+def with_tokens(df: DataFrame, text: str, name: str = "tokens", clean: Callable[[str], Column] = clean_message) -> DataFrame:
+    """Cleaned text as tokens. The cleaned text is a column of its own while both of its uses need it.
+
+    All other columns stay, whatever they are called; a column ``name`` is replaced.
+    """
+    cleaned = fresh("_clean", df)
+    return df.withColumn(cleaned, clean(f"`{text}`")).withColumn(name, tokens(cleaned)).drop(cleaned)
 
 
-def with_terms(df: DataFrame, text: str, name: str = "terms") -> DataFrame:
+def with_terms(df: DataFrame, text: str, name: str = "terms", clean: Callable[[str], Column] = clean_message) -> DataFrame:
     """Cleaned, tokenized text without stop words."""
-    return with_tokens(df, text, "_tokens").withColumn(name, terms("_tokens")).drop("_tokens")
+    words = fresh("_tokens", df)
+    return with_tokens(df, text, words, clean).withColumn(name, terms(words)).drop(words)
 
 
 def _unfold(df: DataFrame, words: str, name: str, *keep: str) -> DataFrame:
@@ -61,16 +76,17 @@ def term_tfidf(df: DataFrame, key: str, words: str = "terms", rows_per_task: int
     return joined.select(key, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
 
 
-def clean_stage(text: str, name: str) -> SQLTransformer:
-    """The cleaning of ``clean_message`` as a pipeline stage."""
-    return SQLTransformer(
-        statement=f"SELECT *, regexp_replace(`{text}`, r'{MESSAGE_NOISE}', ' ') AS `{name}` FROM __THIS__"
-    )
+def clean_stage(text: str, name: str, rule: str = "message") -> SQLTransformer:
+    """A cleaning rule (see ``CLEANING``) as a pipeline stage."""
+    return SQLTransformer(statement=f"SELECT *, {CLEANING[rule].format(f'`{text}`')} AS `{name}` FROM __THIS__")
 
 
-def text_stages(text: str, name: str = "features", buckets: int = 1024) -> list:
-    """Clean, tokenize, drop stop words, hash, weigh; each stage reads the previous one's output."""
-    clean = clean_stage(text, f"{text}_clean")
+def text_stages(text: str, name: str = "features", buckets: int = 1024, rule: str = "message") -> list:
+    """Clean, tokenize, drop stop words, hash, weigh; each stage reads the previous one's output.
+
+    Titles are cleaned by ``rule='title'`` and usually hashed to 32 slots.
+    """
+    clean = clean_stage(text, f"{text}_clean", rule)
     token = Tokenizer(inputCol=f"{text}_clean", outputCol=f"{text}_tokens")
     stop = StopWordsRemover(inputCol=token.getOutputCol(), outputCol=f"{text}_terms")
     tf = HashingTF(inputCol=stop.getOutputCol(), outputCol=f"{text}_hash", numFeatures=buckets)
@@ -78,22 +94,31 @@ def text_stages(text: str, name: str = "features", buckets: int = 1024) -> list:
     return [clean, token, stop, tf, idf]
 
 
-def hashed_tfidf(df: DataFrame, text: str, buckets: int = 1024, name: str = "features") -> DataFrame:
+def hashed_tfidf(df: DataFrame, text: str, buckets: int = 1024, name: str = "features", rule: str = "message") -> DataFrame:
     """Fit the text stages on ``df`` and apply them. For model building put
     ``text_stages`` in a pipeline, so that the weights come from training rows only."""
-    return Pipeline(stages=text_stages(text, name, buckets)).fit(df).transform(df)
+    return Pipeline(stages=text_stages(text, name, buckets, rule)).fit(df).transform(df)
+
+
+def hashed_counts(df: DataFrame, key: str, text: str, sizes: list[int], rule: str = "message") -> DataFrame:
+    """(key, hash_<size> for each of the sizes): sparse hashed counts; the terms of a text are made once for all sizes."""
+    clean, token, stop, *_ = text_stages(text, rule=rule)
+    hashers = [HashingTF(inputCol=stop.getOutputCol(), outputCol=f"hash_{n}", numFeatures=n) for n in sizes]
+    return PipelineModel([clean, token, stop, *hashers]).transform(df.select(key, text)).select(key, *(f"hash_{n}" for n in sizes))
 
 
-def hashed_sizes(df: DataFrame, text: str, sizes: list[int]) -> DataFrame:
-    """Hashed counts of several sizes side by side in ``<text>_hash`` and their weights in ``features``.
+def hashed_weights(df: DataFrame, key: str, text: str, sizes: list[int], rule: str = "message") -> DataFrame:
+    """(key, buckets, slot, tf, weight) of the filled slots of each text; weights are fitted on all of ``df``.
 
-    The terms are made once per pass, and because weights are per slot one fit
-    covers all sizes: slots of the first size come first, then those of the next.
+    The counts are written once to the session's working folder. Fit and result both read them there, so texts
+    are tokenized once. The vectors unfold from their filled slots alone, whatever their size.
     """
-    clean, token, stop, *_ = text_stages(text)
-    hashers = [
-        HashingTF(inputCol=stop.getOutputCol(), outputCol=f"{text}_hash_{n}", numFeatures=n) for n in sizes
-    ]
-    joined = VectorAssembler(inputCols=[h.getOutputCol() for h in hashers], outputCol=f"{text}_hash")
-    idf = IDF(inputCol=joined.getOutputCol(), outputCol="features", minDocFreq=0)
-    return Pipeline(stages=[clean, token, stop, *hashers, joined, idf]).fit(df).transform(df)
+    path = scratch_path(df.sparkSession, "hashed-counts")
+    hashed_counts(df, key, text, sizes, rule).write.parquet(path)
+    counts = df.sparkSession.read.parquet(path)
+    found = None
+    for n in sizes:
+        weighed = IDF(inputCol=f"hash_{n}", outputCol="weights", minDocFreq=0).fit(counts).transform(counts)
+        unfolded = weighed.select(key, F.lit(n).alias("buckets"), F.inline(filled(tf=f"hash_{n}", weight="weights")))
+        found = unfolded if found is None else found.unionByName(unfolded)
+    return found

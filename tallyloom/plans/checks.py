@@ -32,11 +32,17 @@ def in_train(key: str) -> str:
     return f"({bucket(key, 100)} < 80)"
 
 
-def tokens_cte(table: str, key: str, text: str = "text") -> str:
+_CLEAN = {
+    "message": r"""regexp_replace(regexp_replace(regexp_replace({0},
+    '[_():;,.!?\-]', ' ', 'g'), '[0-9]', ' ', 'g'), ' +', ' ', 'g')""",
+    "title": "replace(replace({0}, ',', ''), '-', ' ')",
+}
+
+
+def tokens_cte(table: str, key: str, text: str = "text", rule: str = "message") -> str:
     """CTEs clean(key, clean), token_lists(key, tokens), words(key, token) and kept(key, term)."""
     return rf"""
-clean AS (SELECT {key}, regexp_replace(regexp_replace(regexp_replace({text},
-    '[_():;,.!?\-]', ' ', 'g'), '[0-9]', ' ', 'g'), ' +', ' ', 'g') AS clean FROM {table}),
+clean AS (SELECT {key}, {_CLEAN[rule].format(text)} AS clean FROM {table}),
 token_lists AS (SELECT {key}, CASE WHEN regexp_full_match(clean, '\s+') THEN []::VARCHAR[]
     ELSE string_split_regex(regexp_replace(lower(clean), '\s+$', ''), '\s') END AS tokens FROM clean),
 words AS (SELECT {key}, unnest(tokens) AS token FROM token_lists),

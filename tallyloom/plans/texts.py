@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.textual import clean_message, clean_title, squeeze_spaces, strip_digits, strip_punctuation
+from tallyloom.functions.vectors import filled_values
 from tallyloom.operators import text
-from tallyloom.operators.coding import dense
 from tallyloom.plans.checks import STOP_WORDS, tokens_cte
 from tallyloom.sources import table
 
@@ -56,38 +56,42 @@ def term_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hashed_term_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms per document by summing the hashed counts: collisions add, so nothing is lost."""
-    hashed = text.hashed_sizes(_documents(spark, sf_dir), "text", [32, 1024])
-    total = lambda n: F.aggregate(dense(f"text_hash_{n}"), F.lit(0.0), lambda sofar, v: sofar + v).cast("bigint")
+    hashed = text.hashed_counts(_documents(spark, sf_dir), "doc_id", "text", [32, 1024])
+    total = lambda n: F.aggregate(filled_values(f"hash_{n}"), F.lit(0.0), lambda sofar, v: sofar + v).cast("bigint")
     both = [F.struct(F.lit(n).alias("buckets"), total(n).alias("n_terms")) for n in (32, 1024)]
     return hashed.select("doc_id", F.inline(F.array(*both)))
 
 
+def _rounded_weights(weights: DataFrame, *keep: str) -> DataFrame:
+    return weights.select("doc_id", *keep, "slot", F.col("tf").cast("bigint").alias("tf"), F.round("weight", 6).alias("weight"))
+
+
 def hashed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, buckets, slot, tf, weight) of the filled slots of each document, for 32 and 1024 slots."""
-    weighed = text.hashed_sizes(_documents(spark, sf_dir), "text", [32, 1024])
-    pairs = F.arrays_zip(dense("text_hash").alias("tf"), dense("features").alias("weight"))
-    # empty slots go inside the row, before it is unfolded
-    placed = F.transform(pairs, lambda p, i: F.struct(i.alias("at"), p["tf"].alias("tf"), p["weight"].alias("weight")))
-    filled = weighed.select("doc_id", F.explode(F.filter(placed, lambda p: p["tf"] > 0)).alias("pair")).select("doc_id", "pair.at", "pair")
-    small = F.col("at") < 32
-    return filled.select(
-        "doc_id",
-        F.when(small, 32).otherwise(1024).alias("buckets"),
-        F.when(small, F.col("at")).otherwise(F.col("at") - 32).alias("slot"),
-        F.col("pair.tf").cast("bigint").alias("tf"),
-        F.round("pair.weight", 6).alias("weight"),
-    )
+    return _rounded_weights(text.hashed_weights(_documents(spark, sf_dir), "doc_id", "text", [32, 1024]), "buckets")
+
+
+def title_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The title chain up to its terms: commas go, hyphens become blanks, stop words go."""
+    kept = text.with_terms(_documents(spark, sf_dir), "text", clean=clean_title)
+    return kept.select("doc_id", F.size("terms").cast("bigint").alias("n_terms"), F.array_join("terms", "|").alias("terms"))
+
+
+def title_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole title chain: cleaned as titles, hashed to 32 slots, weighed."""
+    return _rounded_weights(text.hashed_weights(_documents(spark, sf_dir), "doc_id", "text", [32], rule="title"))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         clean_steps, clean_text, clean_titles, tokens, terms, stop_word_usage,
-        term_tfidf, hashed_term_totals, hashed_tfidf,
+        term_tfidf, hashed_term_totals, hashed_tfidf, title_terms, title_tfidf,
     )
 }
 
 _TOKENS = tokens_cte("documents", "doc_id")
+_TITLE_TOKENS = tokens_cte("documents", "doc_id", rule="title")
 
 # MurmurHash3 (x86, 32 bits, seed 42) of each distinct term, from its UTF-8 bytes in hex.
 _TWO32 = "4294967296"
@@ -135,4 +139,11 @@ ORACLES = {
         spreads AS (SELECT buckets, slot, count(*) AS df FROM counts GROUP BY ALL)
         SELECT doc_id, buckets, slot, tf, round(tf * ln((m + 1) / (df + 1)), 6) AS weight
         FROM counts JOIN spreads USING (buckets, slot), m""",
+    "title_terms": f"""WITH {_TITLE_TOKENS}, kept_lists AS (SELECT doc_id,
+        list_filter(tokens, lambda t: NOT list_contains([{STOP_WORDS}], t)) AS terms FROM token_lists)
+        SELECT doc_id, len(terms) AS n_terms, array_to_string(terms, '|') AS terms FROM kept_lists""",
+    "title_tfidf": f"""WITH {_TITLE_TOKENS}, {_SLOTS}, m AS (SELECT count(*) AS m FROM documents),
+        counts AS (SELECT doc_id, (h % 32::UBIGINT)::INTEGER AS slot, count(*) AS tf FROM kept JOIN hashes USING (term) GROUP BY ALL),
+        spreads AS (SELECT slot, count(*) AS df FROM counts GROUP BY ALL)
+        SELECT doc_id, slot, tf, round(tf * ln((m + 1) / (df + 1)), 6) AS weight FROM counts JOIN spreads USING (slot), m""",
 }

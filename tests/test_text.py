@@ -6,7 +6,7 @@ from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from tallyloom.functions.stopwords import ENGLISH_STOP_WORDS
-from tallyloom.functions.textual import clean_message, squeeze_spaces, strip_digits, strip_punctuation, terms, tokens
+from tallyloom.functions.textual import clean_message, clean_title, squeeze_spaces, strip_digits, strip_punctuation, terms, tokens
 from tallyloom.operators import text
 from tallyloom.operators.coding import dense
 
@@ -96,3 +96,36 @@ def test_counts_are_shuffled_once(spark, mid_dir):
     final = weighed._jdf.queryExecution().executedPlan().executedPlan().toString()
     # re-read: the counts for the document counts, and the document counts for the hot list
     assert final.count("ReusedExchange") >= 2
+
+
+def test_title_stages_equal_the_column_form(spark):
+    df = _texts(spark, [*EDGES, "A Tale, of-Two-Cities,", "well-known, 2 -", ",", "-"])
+    staged = df
+    for stage in text.text_stages("text", buckets=32, rule="title")[:3]:
+        staged = stage.transform(staged)
+    rows = text.with_terms(staged, "text", clean=clean_title).select("terms", "text_terms").collect()
+    assert all(r.terms == r.text_terms for r in rows)
+
+
+def test_own_columns_stay(spark):
+    df = _texts(spark, ["the cat sat"]).selectExpr("*", "1 AS _clean", "2 AS _tokens", "3 AS _Tokens_")
+    row = text.with_terms(text.with_tokens(df, "text"), "text").first()
+    assert (row._clean, row._tokens, row._Tokens_, row.tokens, row.terms) == (1, 2, 3, ["the", "cat", "sat"], ["cat", "sat"])
+
+
+def test_hashed_weights_equal_the_stages(spark):
+    df = _texts(spark, EDGES)
+    got = {(r.id, r.buckets, r.slot): (r.tf, r.weight) for r in text.hashed_weights(df, "id", "text", [8, 32]).collect()}
+    want = {}
+    for n in (8, 32):
+        for r in text.hashed_tfidf(df, "text", n).select("id", "text_hash", "features").collect():
+            want.update({(r.id, n, int(i)): (r.text_hash[int(i)], r.features[int(i)]) for i in r.text_hash.indices})
+    assert got == want
+
+
+def test_hashed_plans_have_no_dense_vectors(spark, sf_dir):
+    from tallyloom.plans import texts
+
+    for query in (texts.hashed_tfidf, texts.title_tfidf, texts.hashed_term_totals):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "vector_to_array" not in plan and "transform(" not in plan
