@@ -17,10 +17,13 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.operators.models import cached
+from tallyloom.operators.coding import assemble_stage
+from tallyloom.operators.models import cached, category_stages
+from tallyloom.operators.moments import linear_grid_metrics
 
 
 def grid(axes: dict) -> list[dict]:
@@ -68,9 +71,12 @@ class GridResult:
 def grid_table(
     spark: SparkSession, points: list[dict], means: list[float], metric: str, larger_is_better: bool
 ) -> DataFrame:
-    """One row per grid point: its parameter values, metric name, mean metric and rank (1 = best)."""
+    """One row per grid point: its parameter values, metric name, mean metric and rank (1 = best).
+
+    Means that agree in nine places are a tie, and the earlier point is ranked before.
+    """
     names = sorted({p.name for point in points for p in point})
-    order = sorted(range(len(points)), key=lambda i: means[i], reverse=larger_is_better)
+    order = sorted(range(len(points)), key=lambda i: (-round(means[i], 9) if larger_is_better else round(means[i], 9), i))
     rank = {i: r + 1 for r, i in enumerate(order)}
     rows = []
     for i, point in enumerate(points):
@@ -120,3 +126,26 @@ def grid_search(
         winner = Pipeline(stages=[*stages, model.copy(points[result.best])])
         result.best_model = winner.fit(rows)
     return result
+
+
+def linear_grid_search(
+    numeric: list[str], categories: list[str], model: LinearRegression, points: list[dict], rows: DataFrame, fold_column: str, folds: int,
+) -> GridResult:
+    """``grid_search`` of a linear regression by its error, from one pass over the rows for all points and folds (see ``moments``).
+
+    The points may set fitIntercept, regParam and elasticNetParam. The winner is refitted by Spark on all rows behind
+    the category stages.
+    """
+    if other := {p.name for point in points for p in point} - {"fitIntercept", "regParam", "elasticNetParam"}:
+        raise ValueError(f"not solved from sums: {sorted(other)}; use grid_search")
+    with cached(rows):
+        found = linear_grid_metrics(rows, numeric, categories, model, points, fold_column, folds)
+        result = GridResult(points, found, "rmse", False, None)
+        result.best_model = Pipeline(stages=[*stages_of(numeric, categories, model), model.copy(points[result.best])]).fit(rows)
+    return result
+
+
+def stages_of(numeric: list[str], categories: list[str], model: LinearRegression) -> list:
+    if categories:
+        return category_stages(numeric, categories, model.getFeaturesCol())
+    return [assemble_stage(numeric, model.getFeaturesCol())]

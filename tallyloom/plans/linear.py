@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions import miles_to_km
-from tallyloom.operators import coding, metrics, models, reports, split, wrangle
+from tallyloom.operators import absorbed, coding, metrics, models, reports, split, wrangle
 from tallyloom.plans.checks import DELAYS, KM_TRIPS, TRIPS, in_train
 from tallyloom.sources import cars, table, trips
 
@@ -89,6 +89,33 @@ def travel_speed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.travel_speed(model, scored), 6, "km_per_hour", "ground_minutes")
 
 
+def _order_fit(spark: SparkSession, sf_dir: str, numeric: list[str]) -> tuple[absorbed.AbsorbedFit, DataFrame]:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice")
+    return absorbed.absorbed_least_squares(lines, numeric, "l_orderkey", "l_extendedprice"), lines
+
+
+def order_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coefficient for each order, of which there are as many as the table has: without other columns, its mean."""
+    fit, _ = _order_fit(spark, sf_dir, [])
+    return _rounded(fit.levels, 6, "effect").withColumn("level", F.col("level").cast("bigint"))
+
+
+def order_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price by quantity and order: one slope, and an intercept per order."""
+    fit, _ = _order_fit(spark, sf_dir, ["l_quantity"])
+    found = _rounded(fit.levels, 3, "effect").withColumn("level", F.col("level").cast("bigint"))
+    return found.withColumn("slope", F.round(F.lit(fit.slopes["l_quantity"]), 5))
+
+
+def order_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of price by quantity, discount and order, each line predicted by a join with the orders' coefficients."""
+    fit, lines = _order_fit(spark, sf_dir, ["l_quantity", "l_discount"])
+    scored = fit.predict(lines, F.struct("l_linenumber", "l_quantity", "l_extendedprice"))
+    report = metrics.regression_report(scored, "l_extendedprice").select("n_rows", "rmse", "r2")
+    slopes = {f"slope_{name}": F.lit(slope) for name, slope in fit.slopes.items()}
+    return _rounded(report.withColumns(slopes), 4, "rmse", "r2", *slopes)
+
+
 def ols_normal_equations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kilometres and two categories: residuals are orthogonal to every feature."""
     df = flown(spark, sf_dir).withColumn("day", F.col("dow").cast("string"))
@@ -268,7 +295,7 @@ def logit_delay_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        ols_one_feature, penalized_one_feature, ols_with_category, ols_group_means, travel_speed,
+        ols_one_feature, penalized_one_feature, ols_with_category, ols_group_means, order_means, order_effects, order_fit, travel_speed,
         ols_normal_equations, ols_residuals, rmse_test, pair_listing, fuel_models, schedule_models,
         fit_history,
         penalty_optimum, logit_saturated, logit_score_equations, logit_penalty_optimum, logit_delay_report,
@@ -316,6 +343,19 @@ ORACLES = {
         UNION ALL SELECT 'org_dummy_' || org, round(a - base_a, 6) FROM orgs, base WHERE code < base_code""",
     "ols_group_means": f"""WITH {KM_TRIPS} SELECT org, count(*) AS n_rows, round(avg(duration), 6) AS prediction
         FROM flown GROUP BY org""",
+    "order_means": """SELECT l_orderkey AS level, count(*) AS n_rows, round(avg(l_extendedprice), 6) AS effect FROM lineitem GROUP BY l_orderkey""",
+    "order_effects": """WITH near AS (SELECT l_quantity - avg(l_quantity) OVER w AS x, l_extendedprice - avg(l_extendedprice) OVER w AS y
+            FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)),
+        fit AS (SELECT sum(x * y) / sum(x * x) AS b FROM near)
+        SELECT l_orderkey AS level, count(*) AS n_rows, round(avg(l_extendedprice) - b * avg(l_quantity), 3) AS effect, round(b, 5) AS slope
+        FROM lineitem, fit GROUP BY l_orderkey, b""",
+    "order_fit": """WITH near AS (SELECT l_quantity - avg(l_quantity) OVER w AS q, l_discount - avg(l_discount) OVER w AS d,
+            l_extendedprice - avg(l_extendedprice) OVER w AS y, l_extendedprice AS price FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)),
+        sums AS (SELECT sum(q * q) AS qq, sum(q * d) AS qd, sum(d * d) AS dd, sum(q * y) AS qy, sum(d * y) AS dy FROM near),
+        fit AS (SELECT (qy * dd - dy * qd) / (qq * dd - qd * qd) AS bq, (dy * qq - qy * qd) / (qq * dd - qd * qd) AS bd FROM sums)
+        SELECT count(*) AS n_rows, round(sqrt(avg((y - bq * q - bd * d) ** 2)), 4) AS rmse,
+            round(1 - sum((y - bq * q - bd * d) ** 2) / (var_pop(price) * count(*)), 4) AS r2,
+            round(bq, 4) AS slope_l_quantity, round(bd, 4) AS slope_l_discount FROM near, fit GROUP BY bq, bd""",
     "travel_speed": f"""WITH {_WITHIN}
         SELECT CASE WHEN code = base_code THEN '(base)' ELSE 'org_dummy_' || org END AS level,
         round(60 / b, 6) AS km_per_hour, round(a, 6) AS ground_minutes FROM orgs, base, slope""",
