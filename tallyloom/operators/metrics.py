@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyloom.sources.scratch import scratch_path
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Rows per (label, prediction) pair; pairs that do not occur give no row."""
@@ -104,7 +106,7 @@ def auc_value(
 
 
 def auc_table(
-    df: DataFrame, score: Column, label: str = "label", by: list[str] | None = None, slices: int | None = None
+    df: DataFrame, score: Column, label: str = "label", by: list[str] | None = None, slices: int | None = None, weight: str | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve, lazily and for several models at once.
 
@@ -113,12 +115,14 @@ def auc_table(
     default as many as the session's shuffles have partitions); each slice gives its positive and negative rows and the pairs it orders right
     within itself, and the pairs across slices follow from those totals. So no
     task sees all scores, and only one row per model and slice is put in order.
+    With ``weight`` a row counts as often as that column says. Rows whose label is neither 0 nor 1 are left out, and so are null scores.
     """
-    by = by or []
+    by, times = by or [], F.col(weight) if weight else F.lit(1)
+    of = lambda y: F.coalesce(F.sum(F.when(F.col(label) == y, times)), F.lit(0)).cast("bigint")
     per_score = (
-        df.where(F.col(label).isNotNull())
+        df.where(F.col(label).isin(0, 1) & score.isNotNull())
         .groupBy(*by, score.cast("double").alias("_score"))
-        .agg(F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
+        .agg(of(1).alias("_pos"), of(0).alias("_neg"))
     )
     ranges = [slices, "_score"] if slices else ["_score"]
     sliced = per_score.repartitionByRange(*ranges).withColumn("_slice", F.spark_partition_id())
@@ -137,6 +141,29 @@ def auc_table(
     )
 
 
+def scores_report(scored: DataFrame, by: str = "model", label: str = "label", prediction: str = "prediction", score: str = "probability") -> DataFrame:
+    """(by, metric, value): the four counts, accuracy, precision, recall and the exact area, for each of several models.
+
+    The rows are read once: they are summed up per model, score, prediction and label, and both the counts and the area come from
+    these sums, which are written to the session's working folder. Labels and predictions other than 0 and 1, and null scores, are
+    left out of all of them, so that the counts add up to the rows of the area.
+    """
+    pairs = scored.where(F.col(label).isin(0, 1) & F.col(prediction).isin(0, 1) & F.col(score).isNotNull())
+    summed = pairs.groupBy(by, F.col(score).alias("_score"), F.col(prediction).cast("int").alias("_p"), F.col(label).cast("int").alias("_y"))
+    path = scratch_path(scored.sparkSession, "scores")
+    summed.agg(F.count("*").alias("_n")).write.parquet(path)
+    sums = scored.sparkSession.read.parquet(path)
+    of = lambda y, p: F.coalesce(F.sum(F.when((F.col("_y") == y) & (F.col("_p") == p), F.col("_n"))), F.lit(0)).cast("double")
+    counts = sums.groupBy(by).agg(of(0, 0).alias("tn"), of(1, 1).alias("tp"), of(1, 0).alias("fn"), of(0, 1).alias("fp"))
+    tn, tp, fn, fp = (F.col(c) for c in ("tn", "tp", "fn", "fp"))
+    wide = counts.select(
+        by, "tn", "tp", "fn", "fp", F.try_divide(tn + tp, tn + tp + fn + fp).alias("accuracy"),
+        F.try_divide(tp, tp + fp).alias("precision"), F.try_divide(tp, tp + fn).alias("recall"),
+    )
+    area = auc_table(sums, F.col("_score"), "_y", [by], weight="_n").select(by, F.lit("auc").alias("metric"), F.col("auc").alias("value"))
+    return wide.unpivot([by], wide.columns[1:], "metric", "value").unionByName(area)
+
+
 def as_rows(report: DataFrame) -> DataFrame:
     """A one-row report as (metric, value) rows, so that reports can be put below each other."""
     doubles = report.select(*[F.col(c).cast("double").alias(c) for c in report.columns])

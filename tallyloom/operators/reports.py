@@ -9,9 +9,11 @@ import re
 
 from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.param import Params
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField
 
+from tallyloom.sources.scratch import scratch_path
+
 
 def stage_of(pipeline: PipelineModel, kind: type) -> Transformer:
     """The one fitted stage of a class, wherever it stands in the pipeline."""
@@ -111,6 +113,45 @@ def tree_table(model: Model, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "tree int, depth int, nodes int")
 
 
+def node_table(model: Model, scored: DataFrame) -> DataFrame:
+    """(tree, node, feature, threshold, gain, n_rows, weight, prediction, is_leaf) of every node of a tree model or ensemble.
+
+    The saved model is read as a table, so that an ensemble of any size stays off the driver. Inner nodes have a
+    feature, and a threshold if it is no category; ``weight`` is what the rows weigh in the node's gain.
+    """
+    spark, path = scored.sparkSession, scratch_path(scored.sparkSession, "model")
+    model.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    rows = saved.select(F.col("treeID").alias("tree"), "nodeData.*") if "nodeData" in saved.columns else saved.withColumn("tree", F.lit(0))
+    names = spark.createDataFrame(list(enumerate(_features_of(model, scored))), "place int, feature string")
+    members = getattr(model, "trees", None) or [model]
+    stats = F.col("impurityStats")
+    # the stats of a class label are weights per class, those of a number begin with the weight
+    weight = stats[0] if members[0].getImpurity() == "variance" else F.aggregate(stats, F.lit(0.0), lambda a, b: a + b)
+    inner, cut = F.col("leftChild") >= 0, F.col("split")
+    joined = rows.join(F.broadcast(names), inner & (cut["featureIndex"] == F.col("place")), "left")
+    threshold = F.when(inner & (cut["numCategories"] < 0), F.get(cut["leftCategoriesOrThreshold"], F.lit(0)))
+    return joined.select(
+        "tree", F.col("id").alias("node"), "feature", threshold.alias("threshold"), F.when(inner, F.col("gain")).alias("gain"),
+        F.col("rawCount").alias("n_rows"), weight.alias("weight"), "prediction", (~inner).alias("is_leaf"),
+    )
+
+
+def importances_of_nodes(nodes: DataFrame, per_tree: bool = True) -> DataFrame:
+    """(feature, importance) from a node table: the gains of each feature times the weights, as shares.
+
+    With ``per_tree`` each tree counts the same, as in forests; boosted trees count by their gains. Features
+    without a cut have no row.
+    """
+    gained = nodes.where(~F.col("is_leaf")).groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("gained"))
+    if per_tree:
+        # one row per tree and feature
+        gained = gained.withColumn("gained", F.try_divide("gained", F.sum("gained").over(Window.partitionBy("tree"))))
+    summed = gained.groupBy("feature").agg(F.sum("gained").alias("gained"))
+    total = summed.agg(F.sum("gained").alias("total"))
+    return summed.select("feature", F.try_divide(F.col("gained"), total.scalar()).alias("importance"))
+
+
 def rule_table(model: Model, scored: DataFrame) -> DataFrame:
     """The if/else listing of a tree model, one row per line, with slot names for slot numbers.
 

@@ -17,13 +17,16 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.coding import assemble_stage
+from tallyloom.operators.metrics import auc_table
 from tallyloom.operators.models import cached, category_stages
 from tallyloom.operators.moments import linear_grid_metrics
+from tallyloom.operators.reports import parameter_table, stage_of
 
 
 def grid(axes: dict) -> list[dict]:
@@ -149,3 +152,27 @@ def stages_of(numeric: list[str], categories: list[str], model: LinearRegression
     if categories:
         return category_stages(numeric, categories, model.getFeaturesCol())
     return [assemble_stage(numeric, model.getFeaturesCol())]
+
+
+def winner_report(result: GridResult, test: DataFrame, kind: type, params: list[str], score: str = "probability") -> DataFrame:
+    """(name, value, is_default, doc): held-out area and mean metric of a classifier grid's winner, the grid's size and the winner's parameters.
+
+    The held-out rows are scored in the job that shows the report; ``score`` is the winner's column that ranks rows.
+    """
+    spark = test.sparkSession
+    model = stage_of(result.best_model, kind)
+    area = auc_table(result.best_model.transform(test), vector_to_array(score)[1]).select(F.round("auc", 6).cast("string").alias("value"))
+    text = lambda c: F.lit(c)
+    none = F.lit(None).cast("boolean")
+    held = area.select(text(result.metric).alias("name"), "value", none.alias("is_default"), text("held-out rows").alias("doc"))
+    way = "larger" if result.larger_is_better else "smaller"
+    table = result.table(spark)
+    mean = best_point(table).select(
+        text(f"mean {result.metric}").alias("name"), F.round("mean_metric", 6).cast("string").alias("value"),
+        none.alias("is_default"), text(f"best of the grid, {way} is better").alias("doc"),
+    )
+    size = grid_size(table).select(
+        text("n_models").alias("name"), F.col("n_models").cast("string").alias("value"), none.alias("is_default"), text("points of the grid").alias("doc")
+    )
+    told = parameter_table(model, spark).where(F.col("param").isin(params)).select(F.col("param").alias("name"), "value", "is_default", "doc")
+    return held.unionByName(mean).unionByName(size).unionByName(told)

@@ -287,9 +287,8 @@ def _late_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logit_delay_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, ratios and area under the curve of the late-trip model on held-out trips."""
     scored = _late_scored(spark, sf_dir)
-    area = metrics.auc_table(scored, coding.dense("probability")[1])
-    report = metrics.as_rows(metrics.binary_report(scored)).unionByName(metrics.as_rows(area))
-    return _rounded(report, 4, "value")
+    own = scored.select(F.lit("logistic").alias("model"), "label", "prediction", coding.dense("probability")[1].alias("probability"))
+    return _rounded(metrics.scores_report(own).drop("model"), 4, "value")
 
 
 QUERIES = {

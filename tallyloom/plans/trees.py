@@ -5,10 +5,13 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Model, Pipeline
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.operators import coding, metrics, models, reports, split, wrangle
-from tallyloom.plans.checks import DELAYS, TRIPS
+from tallyloom.operators import coding, metrics, models, reports, split, tuning, wrangle
+from tallyloom.plans.checks import DELAYS, TRIPS, bucket, in_train
+from tallyloom.plans.growth import tree_sql
 from tallyloom.plans.scores import auc_sql
 from tallyloom.sources import cars, dealt, trips
 
@@ -122,12 +125,8 @@ def _fitted(spark: SparkSession, sf_dir: str, *names: str) -> tuple[dict[str, Mo
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and area under the curve of three tree models on the same held-out trips."""
     fitted, test = _fitted(spark, sf_dir)
-    scored = models.stack_scores(fitted, test)
-    hit = F.avg((F.col("label") == F.col("prediction")).cast("int"))
-    accuracy = scored.groupBy("model").agg(hit.alias("value")).withColumn("metric", F.lit("accuracy"))
-    area = metrics.auc_table(scored, F.col("probability"), by=["model"])
-    both = accuracy.unionByName(area.select("model", F.col("auc").alias("value"), F.lit("auc").alias("metric")))
-    return both.select("model", "metric", F.round("value", 4).alias("value"))
+    report = metrics.scores_report(models.stack_scores(fitted, test)).where(F.col("metric").isin("accuracy", "auc"))
+    return report.select("model", "metric", F.round("value", 4).alias("value"))
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,9 +181,89 @@ def origin_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+#: Features of few values, so that every cut is tried: hour, month and length in half hours.
+BINNED = ["hour", "mon", "halves"]
+DEPTH = 3
+
+
+def _binned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Trips that are late and either long or late in the year, by binned features, in training and held-out part."""
+    late = trips(spark, sf_dir).transform(wrangle.delay_labels)
+    hour, halves = F.floor("depart").cast("int"), F.floor(F.col("duration") / 30).cast("int")
+    costly = ((F.col("label") == 1) & ((F.col("duration") >= 150) | (F.col("mon") >= 9))).cast("int")
+    return split.stable_split(late.select("trip_id", hour.alias("hour"), "mon", halves.alias("halves"), costly.alias("label")), "trip_id")
+
+
+def _whole_forest(trees: int, depth: int) -> object:
+    """Trees that all see every row and feature."""
+    return models.forest(seed=SEED, trees=trees, maxDepth=depth, bootstrap=False, subsamplingRate=1.0, featureSubsetStrategy="all")
+
+
+def _deep(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Model], DataFrame, DataFrame]:
+    train, test = (coding.assemble_stage(BINNED).transform(part) for part in _binned(spark, sf_dir))
+    with models.cached(train):
+        fitted = {name: e.fit(train) for name, e in (("tree", models.tree(seed=SEED, maxDepth=DEPTH)), ("forest", _whole_forest(3, DEPTH)))}
+    return fitted, train, test
+
+
+def deep_tree_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, ratios and area of a tree of three levels on held-out trips, from one pass over its scores."""
+    fitted, _, test = _deep(spark, sf_dir)
+    return metrics.scores_report(models.stack_scores(fitted, test)).select("model", "metric", F.round("value", 6).alias("value"))
+
+
+def deep_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the tree: its rows, cut, gain and prediction."""
+    fitted, train, _ = _deep(spark, sf_dir)
+    nodes = reports.node_table(fitted["tree"], train)
+    return nodes.select("n_rows", "feature", F.floor("threshold").cast("int").alias("last_left"), F.round("gain", 8).alias("gain"), "prediction", "is_leaf")
+
+
+def deep_tree_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth and nodes of each member of the ensembles."""
+    fitted, _, _ = _deep(spark, sf_dir)
+    tables = [reports.tree_table(m, spark).withColumn("model", F.lit(n)) for n, m in fitted.items()]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def deep_tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances, as the model says and from its nodes."""
+    fitted, train, _ = _deep(spark, sf_dir)
+    found = []
+    for name, model in fitted.items():
+        told = reports.importance_table(model, train)
+        summed = reports.importances_of_nodes(reports.node_table(model, train)).withColumnRenamed("importance", "of_nodes")
+        found.append(told.join(summed, "feature", "left").withColumn("model", F.lit(name)))
+    share = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)), 6).alias(c)
+    return reduce(DataFrame.unionByName, found).select("model", "feature", share("importance"), share("of_nodes"))
+
+
+def _depth_search(spark: SparkSession, sf_dir: str) -> tuple[tuning.GridResult, DataFrame]:
+    train, test = _binned(spark, sf_dir)
+    model = _whole_forest(1, 1)
+    points = tuning.grid({model.maxDepth: [1, 2, DEPTH]})
+    found = tuning.grid_search(
+        [coding.assemble_stage(BINNED)], model, points, BinaryClassificationEvaluator(numBins=0), split.with_fold(train, "trip_id", 3), "fold", 3
+    )
+    return found, test
+
+
+def depth_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree that sees all rows and features, by its depth: mean area over three folds, and rank."""
+    found, _ = _depth_search(spark, sf_dir)
+    return found.table(spark).select("point", F.col("maxDepth").cast("int").alias("depth"), "metric", F.round("mean_metric", 6).alias("mean_metric"), "rank")
+
+
+def depth_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winner of ``depth_grid`` on held-out trips, and its parameters with what they mean."""
+    found, test = _depth_search(spark, sf_dir)
+    return tuning.winner_report(found, test, RandomForestClassificationModel, ["maxDepth", "bootstrap"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        deep_tree_report, deep_tree_nodes, deep_tree_sizes, deep_tree_importances, depth_grid, depth_winner,
         tree_exact, forest_exact, boosted_exact, tree_shape, exact_importances, tree_stump, stump_leaves,
         stump_compare, model_compare, importances, tree_sizes, tree_rules, delay_tree_report, origin_report,
     )
@@ -208,7 +287,41 @@ _STUMP = f"""{DELAYS}, base AS (SELECT floor(depart)::INTEGER AS hour, mon, labe
     leaves AS (SELECT label, CASE WHEN CASE feature WHEN 'hour' THEN hour ELSE mon END <= v
         THEN pl / nl ELSE (pt - pl) / (nt - nl) END AS share FROM base, best)"""
 
+_BINNED = f"""{DELAYS}, binned AS (SELECT trip_id AS id, CASE WHEN {in_train('trip_id')} THEN {bucket('trip_id', 3, 'fold')} ELSE -1 END AS fold,
+        (label = 1 AND (duration >= 150 OR mon >= 9))::INTEGER AS label, floor(depart)::INTEGER AS hour, mon, floor(duration / 30)::INTEGER AS halves FROM delays)"""
+_DEEP = f"{_BINNED}, {tree_sql('binned', BINNED, DEPTH)}"
+_DEPTHS = ", ".join([_BINNED, *(tree_sql("binned", BINNED, d, 3, f"d{d}") for d in (1, 2, DEPTH))])
+_STACKED = " UNION ALL ".join(f"SELECT {i} AS point, {d} AS depth, held, label, share AS score, held * 10 + {i} AS run FROM d{d}_reached" for i, d in enumerate((1, 2, DEPTH)))
+_DEPTH_GRID = f"""{_DEPTHS}, stacked AS ({_STACKED}), {auc_sql('stacked', 'run')},
+    runs AS (SELECT DISTINCT run, point, depth, held FROM stacked), means AS (SELECT point, depth, avg(auc) AS mean_metric FROM areas JOIN runs USING (run) WHERE held >= 0 GROUP BY ALL),
+    best AS (SELECT * FROM means ORDER BY round(mean_metric, 9) DESC, point LIMIT 1)"""
+# What Spark says of these parameters.
+_DOCS = {
+    "maxDepth": "Maximum depth of the tree. (>= 0) E.g., depth 0 means 1 leaf node; depth 1 means 1 internal node + 2 leaf nodes. Must be in range [0, 30].",
+    "bootstrap": "Whether bootstrap samples are used when building trees.",
+}
+
 ORACLES = {
+    "deep_tree_report": f"""WITH {_DEEP}, counts AS (SELECT count(*) FILTER (prediction = 0 AND label = 0)::DOUBLE AS tn, count(*) FILTER (prediction = 1 AND label = 1)::DOUBLE AS tp,
+            count(*) FILTER (prediction = 0 AND label = 1)::DOUBLE AS fn, count(*) FILTER (prediction = 1 AND label = 0)::DOUBLE AS fp FROM t_reached),
+        {auc_sql('t_reached', score='share')}, wide AS (SELECT counts.*, (tn + tp) / (tn + tp + fn + fp) AS accuracy, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall, auc FROM counts, areas),
+        tall AS (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)
+        SELECT model, metric, round(value, 6) AS value FROM tall, (VALUES ('tree'), ('forest')) AS models(model)""",
+    "deep_tree_nodes": f"""WITH {_DEEP} SELECT n::BIGINT AS n_rows, CASE WHEN NOT is_leaf THEN feature END AS feature, CASE WHEN NOT is_leaf THEN cut::INTEGER END AS last_left,
+        CASE WHEN NOT is_leaf THEN round(gain, 8) END AS gain, prediction::DOUBLE AS prediction, is_leaf FROM t_nodes""",
+    "deep_tree_sizes": f"""WITH {_DEEP}, size AS (SELECT max(level)::INTEGER AS depth, count(*)::INTEGER AS nodes FROM t_nodes)
+        SELECT tree, depth, nodes, model FROM size, (VALUES ('tree', 0), ('forest', 0), ('forest', 1), ('forest', 2)) AS members(model, tree)""",
+    "deep_tree_importances": f"""WITH {_DEEP}, gained AS (SELECT feature, sum(gain * n) AS gained FROM t_nodes WHERE NOT is_leaf GROUP BY feature),
+        shares AS (SELECT name AS feature, round(coalesce(gained, 0) / (SELECT sum(gained) FROM gained), 6) AS share FROM (SELECT unnest({BINNED}) AS name) LEFT JOIN gained ON feature = name)
+        SELECT model, feature, share AS importance, share AS of_nodes FROM shares, (VALUES ('tree'), ('forest')) AS models(model)""",
+    "depth_grid": f"""WITH {_DEPTH_GRID} SELECT point::INTEGER AS point, depth::INTEGER AS depth, 'areaUnderROC' AS metric, round(mean_metric, 6) AS mean_metric,
+        row_number() OVER (ORDER BY round(mean_metric, 9) DESC, point)::INTEGER AS rank FROM means""",
+    "depth_winner": f"""WITH {_DEPTH_GRID} SELECT 'areaUnderROC' AS name, round(auc, 6)::VARCHAR AS value, NULL::BOOLEAN AS is_default, 'held-out rows' AS doc
+            FROM best JOIN runs USING (point) JOIN areas USING (run) WHERE held = -1
+        UNION ALL SELECT 'mean areaUnderROC', round(mean_metric, 6)::VARCHAR, NULL, 'best of the grid, larger is better' FROM best
+        UNION ALL SELECT 'n_models', count(*)::VARCHAR, NULL, 'points of the grid' FROM means
+        UNION ALL SELECT 'maxDepth', depth::VARCHAR, false, '{_DOCS["maxDepth"]}' FROM best
+        UNION ALL SELECT 'bootstrap', 'False', false, '{_DOCS["bootstrap"]}' FROM best""",
     "tree_exact": _DIAGONAL,
     "forest_exact": _DIAGONAL,
     "boosted_exact": _DIAGONAL,

@@ -85,3 +85,18 @@ def test_auc_per_group_equals_one_by_one(spark):
     grouped = {r.g: r.auc for r in metrics.auc_table(df, F.col("s"), by=["g"]).collect()}
     for g in range(4):
         assert math.isclose(grouped[g], metrics.auc_value(df.where(F.col("g") == g), score="s", exact=True), abs_tol=1e-9)
+
+
+def test_scores_report_equals_the_single_reports(spark):
+    rows = [("a", y, float(p), s) for y, p, s in [(0, 0, 0.1), (1, 1, 0.9), (1, 0, 0.4), (0, 1, 0.6), (1, 1, 0.6), (1, 1, 0.6), (0, 0, 0.4)]]
+    odd = [("a", 2, 1.0, 0.9), ("a", None, 1.0, 0.9), ("a", 1, 1.0, None), ("b", 1, 1.0, 0.5)]
+    df = spark.createDataFrame(rows + odd, "model string, label int, prediction double, probability double")
+    got = {(r.model, r.metric): r.value for r in metrics.scores_report(df).collect()}
+    whole = spark.createDataFrame(rows, df.schema)
+    want = {(("a"), r.metric): r.value for r in metrics.as_rows(metrics.binary_report(whole)).collect()}
+    want["a", "auc"] = metrics.auc_value(whole, score="probability")
+    assert {k: v for k, v in got.items() if k[0] == "a"} == pytest.approx(want)
+    assert got["b", "auc"] is None and got["b", "tp"] == 1.0 and got["b", "accuracy"] == 1.0
+    assert metrics.scores_report(df.limit(0)).isEmpty()
+    area = metrics.auc_table(df.where("model = 'a'"), F.col("probability")).first().auc
+    assert area == pytest.approx(want["a", "auc"])

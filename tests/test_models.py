@@ -156,3 +156,13 @@ def test_remaining_reports_have_rows(spark, sf_dir):
     assert trees.tree_sizes(spark, sf_dir).where("model = 'forest'").count() == 20
     assert trees.delay_tree_report(spark, sf_dir).count() == 7
     assert linear.fit_history(spark, sf_dir).count() >= 2
+
+
+def test_importances_of_nodes_equal_the_models(late):
+    for model, per_tree in ((models.tree(), True), (models.forest(seed=1, trees=3), True), (models.boosted(seed=1, rounds=3), False)):
+        fitted = model.fit(late)
+        nodes = reports.node_table(fitted, late)
+        told = {r.feature: r.importance for r in reports.importance_table(fitted, late).where("importance > 0").collect()}
+        assert {r.feature: r.importance for r in reports.importances_of_nodes(nodes, per_tree).collect()} == pytest.approx(told)
+        sizes = {r.tree: r["count"] for r in nodes.groupBy("tree").count().collect()}
+        assert sizes == {r.tree: r.nodes for r in reports.tree_table(fitted, late.sparkSession).collect()}
