@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.llm.common import components, partitions, per_worker, saved, text_slices
+from tallyloom.operators.keyed import fresh
 
 WORDS, BANDS, ROWS, SLOTS = 5, 12, 3, 1 << 20
 #: A pair of likeness s is a candidate with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9997 at 0.8.
@@ -228,10 +229,11 @@ def one_of_each_class(docs: DataFrame, threshold: float = 0.8, id_column: str =
     It is that of least id; of texts of that id in the class, that of least digest; of rows that repeat id and text, one.
     """
     least = _members(docs, threshold, id_column, text_column).groupBy("group").agg(F.min(F.struct("doc", "own")).alias("least"))
-    kept = least.select(F.col("least.doc").alias("_kept"), F.col("least.own").alias("_kept_own"))
-    named = docs.withColumn("_doc", F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))).withColumn("_own", digest(text_column))
-    stays = named.join(kept, (F.col("_doc") == F.col("_kept")) & (F.col("_own") == F.col("_kept_own")), "left_semi")
-    return stays.dropDuplicates(["_doc", "_own"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    doc, own, kept, kept_own = (fresh(c, docs) for c in ("_doc", "_own", "_kept", "_kept_own"))
+    chosen = least.select(F.col("least.doc").alias(kept), F.col("least.own").alias(kept_own))
+    named = docs.withColumn(doc, F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID))).withColumn(own, digest(text_column))
+    stays = named.join(chosen, (F.col(doc) == F.col(kept)) & (F.col(own) == F.col(kept_own)), "left_semi")
+    return stays.dropDuplicates([doc, own]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ HELD_OUT = 2
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == HELD_OUT, F.lit(False))
     model = toxicity.train(docs, labels.where(~held_out))
     return toxicity.score(docs, model).select("row.doc_id", "score", "predicted").withColumn("held_out", held_out)
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyloom.llm.common import saved, text_slices
 
@@ -21,6 +21,8 @@ from tallyloom.llm.common import saved, text_slices
 SLOTS, SIZES = 1 << 20, (4, 5, 6)
 #: Labelled texts of each class that the regression is fitted on at most, the least by hash of the text.
 SAMPLE_PER_CLASS = 600
+#: Of these as many, in that order, as hold so many bytes of text; the first one in any case.
+SAMPLE_BYTES = 32 << 20
 _BASE, _MIX = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 
@@ -62,7 +64,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """Learn from the labelled rows: counts from all, the regression from a sample of ``sample_per_class`` per class.
 
     Rows without a text, a label of 0 or 1, or an id are passed over; a document's repeated labels count each. The labelled texts are
-    joined and read once: each task hands on its counts and its least texts by hash, at most ``sample_per_class`` of a class.
+    joined and read once: each task hands on its counts and its least texts by hash, at most ``sample_per_class`` of a class and
+    ``SAMPLE_BYTES`` of text. The regression is fitted in one task, whose memory these bounds limit; the driver only gets its
+    weights, a fixed number.
     Without rows of both classes the model gives every text the share of label 1 (one half without labels).
     """
     known = labels.where(F.col(label_column).isin(0, 1)).select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
@@ -71,7 +75,9 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     rows = texts.join(known.hint("merge"), "id").select("text", "label", F.xxhash64("text").alias("order"))
 
     def least(held: list[tuple[int, str]]) -> list[tuple[int, str]]:
-        return sorted(held)[:sample_per_class]
+        kept = sorted(held)[:sample_per_class]
+        sizes = np.cumsum([len(text.encode()) for _, text in kept])
+        return kept[: max(1, int(np.searchsorted(sizes, SAMPLE_BYTES, "right")))]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The counts of a task's texts, and those of them that the sample may take: the only pass over the texts."""
@@ -99,27 +105,43 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     kinds = pa.schema([("label", pa.int64()), ("low", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("order", pa.int64()), ("text", pa.string())])
     gathered = saved(rows.mapInArrow(gather, "label long, low long, n long, counts binary, order long, text string"), "labelled")
     parts = gathered.where("low IS NOT NULL").select("label", "low", "n", "counts").groupBy("label", "low").applyInArrow(add, "label long, low long, n long, counts binary")
-    counts, total = np.zeros((2, SLOTS), np.int64), [0, 0]
-    for row in parts.toLocalIterator():  # 2 x SLOTS counts
-        own = np.frombuffer(row["counts"], "<i8")
-        counts[row["label"]][row["low"] : row["low"] + len(own)] = own
-        total[row["label"]] = row["n"]
-    if not all(total):
-        share = (total[1] + 0.5) / (sum(total) + 1)
-        return Model(np.zeros(SLOTS, np.float32), float(np.log(share / (1 - share))))
-    ratio = np.log((counts[1] + smoothing) / (total[1] + 2 * smoothing)) - np.log((counts[0] + smoothing) / (total[0] + 2 * smoothing))
-
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stamps = np.zeros(SLOTS, np.int32)
-        for batch in text_slices(batches, "text"):
-            texts, own = batch["text"].to_pylist(), batch["label"].to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array([places_of(_lowered(t), stamps).astype("<i4").tobytes() for t in texts], pa.binary())], ["label", "places"])
 
-    sample: list[tuple[int, np.ndarray]] = []
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The model from all counts and the sample, in one task."""
+        counts, total, stamps = np.zeros((2, SLOTS), np.int64), [0, 0], np.zeros(SLOTS, np.int32)
+        sample: list[tuple[int, int, bytes, np.ndarray]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["low"] is None:
+                    text = _lowered(row["text"])
+                    sample.append((row["label"], row["order"], text, places_of(text, stamps).astype("<i4")))
+                else:
+                    own = np.frombuffer(row["counts"], "<i8")
+                    counts[row["label"]][row["low"] : row["low"] + len(own)] = own
+                    total[row["label"]] = row["n"]
+        if all(total):
+            ratio = np.log((counts[1] + smoothing) / (total[1] + 2 * smoothing)) - np.log((counts[0] + smoothing) / (total[0] + 2 * smoothing))
+            sample.sort(key=lambda r: r[:3])
+            weights, bias = _fitted([(label, places) for label, _, _, places in sample], ratio.astype(np.float32), total, ridge)
+        else:
+            share = (total[1] + 0.5) / (sum(total) + 1)
+            weights, bias = np.zeros(SLOTS, np.float32), float(np.log(share / (1 - share)))
+        for low in range(0, SLOTS, 1 << 17):
+            yield pa.RecordBatch.from_pylist([{"low": low, "weights": weights[low : low + (1 << 17)].astype("<f4").tobytes(), "bias": bias}])
+
+    given = parts.select("label", "low", "n", "counts", F.lit(None).cast("long").alias("order"), F.lit(None).cast("string").alias("text"))
+    so_far = Window.partitionBy("label").orderBy("order", "text")
     for label in (0, 1):
-        chosen = gathered.where(F.col("low").isNull() & (F.col("label") == label)).orderBy("order", "text").limit(sample_per_class).select("text", F.col("label").cast("int").alias("label"))
-        sample += [(r["label"], np.frombuffer(r["places"], "<i4")) for r in chosen.mapInArrow(featured, "label int, places binary").toLocalIterator()]
-    return Model(*_fitted(sample, ratio.astype(np.float32), total, ridge))
+        # the window has sample_per_class rows
+        chosen = gathered.where(F.col("low").isNull() & (F.col("label") == label)).orderBy("order", "text").limit(sample_per_class)
+        held = F.sum(F.octet_length("text")).over(so_far) <= SAMPLE_BYTES
+        given = given.unionByName(chosen.withColumns({"_held": held, "_place": F.row_number().over(so_far)}).where("_held OR _place = 1").drop("_held", "_place"))
+    weights, bias = np.zeros(SLOTS, np.float32), 0.0
+    for row in given.repartition(1).mapInArrow(fit, "low long, weights binary, bias double").toLocalIterator():
+        own = np.frombuffer(row["weights"], "<f4")
+        weights[row["low"] : row["low"] + len(own)] = own
+        bias = row["bias"]
+    return Model(weights, bias)
 
 
 def _fitted(sample: list[tuple[int, np.ndarray]], ratio: np.ndarray, total: list[int], ridge: float) -> tuple[np.ndarray, float]:
