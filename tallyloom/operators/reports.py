@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 from pyspark.ml import Model, PipelineModel, Transformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Params
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField
@@ -95,6 +96,21 @@ def objective_table(model: Model, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "iteration int, objective double")
 
 
+def objective_of(model: Model, scored: DataFrame) -> DataFrame:
+    """(objective): what a penalized linear regression minimizes, computed over the rows from the model's coefficients.
+
+    Features and label are scaled by their deviations and the penalty by the label's. One pass; features that don't vary count nothing.
+    """
+    label, weights = F.col(model.getLabelCol()).cast("double"), model.coefficients.toArray().tolist()
+    values = vector_to_array(model.getFeaturesCol())
+    spread = F.stddev_pop(label)
+    sizes = [F.lit(abs(b)) * F.stddev_pop(values[i]) / spread for i, b in enumerate(weights)]
+    strength, mix = model.getRegParam(), model.getElasticNetParam()
+    l1, l2 = sum(sizes, F.lit(0.0)), sum((x * x for x in sizes), F.lit(0.0))
+    error = F.avg((label - F.col(model.getPredictionCol())) ** 2) / (2 * spread * spread)
+    return scored.agg((error + strength / spread * (mix * l1 + (1 - mix) / 2 * l2)).alias("objective"))
+
+
 def residuals(scored: DataFrame, label: str, prediction: str = "prediction", name: str = "residual") -> DataFrame:
     return scored.withColumn(name, F.col(label) - F.col(prediction))
 

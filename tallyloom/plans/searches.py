@@ -99,6 +99,22 @@ def fuel_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _winner(*_fuel_search(spark, sf_dir), spark, "consumption", *_PENALTY, "fitIntercept", "maxIter")
 
 
+def history_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objective of a lasso fit: first and last value, that of its coefficients over the rows, and whether it only falls, a step each."""
+    rows = coding.assemble_stage(["km", "dow"]).transform(flown(spark, sf_dir).select("km", "dow", "duration"))
+    with models.cached(rows):
+        model = models.lasso("duration", 1.0, tol=1e-12).fit(rows)
+    history = reports.objective_table(model, spark)
+    earlier = history.select((F.col("iteration") + 1).alias("iteration"), F.col("objective").alias("before"))
+    told = history.join(earlier, "iteration", "left").agg(
+        F.max(F.when(F.col("iteration") == 0, F.col("objective"))).alias("first"), F.min_by("objective", -F.col("iteration")).alias("last"),
+        F.bool_and(F.coalesce(F.col("objective") <= F.col("before") + 1e-12, F.lit(True))).alias("never_rises"),
+        (F.count("*") - 1 == reports.fit_report(model, spark).select("iterations").scalar()).alias("a_value_per_step"),
+    )
+    own = reports.objective_of(model, model.transform(rows)).select(F.round("objective", 7).alias("of_coefficients"))
+    return told.select(F.round("first", 7).alias("first"), F.round("last", 7).alias("last"), own.scalar().alias("of_coefficients"), "never_rises", "a_value_per_step")
+
+
 def forest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late trips: feature subset rule by depth, ranked by the area under the curve."""
     late = trips(spark, sf_dir).transform(wrangle.delay_labels)
@@ -150,7 +166,7 @@ def text_classifier_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        cv_rmse, cv_grid, grid_winner, duration_grid, fuel_grid, fuel_winner, forest_grid, text_classifier, text_classifier_calibration,
+        cv_rmse, cv_grid, grid_winner, duration_grid, fuel_grid, fuel_winner, history_summary, forest_grid, text_classifier, text_classifier_calibration,
     )
 }
 
@@ -180,7 +196,7 @@ def _penalized_sql(base: str, numeric: list[str], categories: list[str], points:
     """
     rows = ", ".join(f"({i}, {ic}, {s}::DOUBLE, {m}::DOUBLE)" for i, (ic, s, m) in enumerate(points))
     numbers = " UNION ALL ".join(f"SELECT id, fold, y, '{c}' AS feature, {c}::DOUBLE AS v FROM base" for c in numeric)
-    kinds = " UNION ALL ".join(f"SELECT id, fold, '{c}' AS kind, {c}::VARCHAR AS level FROM base" for c in categories)
+    kinds = " UNION ALL ".join(f"SELECT id, fold, '{c}' AS kind, {c}::VARCHAR AS level FROM base" for c in categories) or "SELECT id, fold, '' AS kind, '' AS level FROM base WHERE false"
     return f"""RECURSIVE {base},
     folds AS (SELECT unnest(range(-1, {folds})) AS held),
     points AS (SELECT * FROM (VALUES {rows}) AS p(point, ic, strength, mix)),
@@ -227,6 +243,10 @@ _FUEL = _penalized_sql(
         round(378.5411784::DOUBLE / (avg_mpg * 1.609344::DOUBLE), 2) AS y, weight_kg, cyl, type FROM metric)""",
     ["weight_kg", "cyl"], ["type"], [(ic, s, m) for ic in ("true", "false") for s in FUEL_STRENGTHS for m in FUEL_MIXES], 10, 2500,
 )
+# the same rows as training and as test part, so that the error is that of the training rows
+_LASSO = _penalized_sql(
+    f"{KM_TRIPS}, base AS (SELECT trip_id AS id, unnest([0, -1]) AS fold, duration::DOUBLE AS y, km, dow FROM flown)", ["km", "dow"], [], [("true", 1.0, 1.0)], 0, 200,
+)
 _BEST = """SELECT 'regParam' AS metric, round(strength, 5) AS value FROM best
         UNION ALL SELECT 'elasticNetParam', round(mix, 5) FROM best
         UNION ALL SELECT 'rmse', round(rmse, 5) FROM best JOIN errors USING (point) WHERE held = -1
@@ -255,6 +275,9 @@ ORACLES = {
     "duration_grid": f"WITH {_DURATION} {_BEST}",
     "fuel_grid": f"""WITH {_FUEL} SELECT point::INTEGER AS point, ic AS intercept, strength, mix, 'rmse' AS metric,
         round(mean_metric, 5) AS mean_metric, row_number() OVER (ORDER BY round(mean_metric, 9), point)::INTEGER AS rank FROM means""",
+    "history_summary": f"""WITH {_LASSO}, pull AS (SELECT sum(abs(beta * s / sy)) / any_value(sy) AS l1, any_value(sy) AS sy FROM fitted JOIN single USING (held, j))
+        SELECT 0.5::DOUBLE AS first, round(rmse ** 2 / (2 * sy * sy) + l1, 7) AS last, round(rmse ** 2 / (2 * sy * sy) + l1, 7) AS of_coefficients,
+        true AS never_rises, true AS a_value_per_step FROM errors, pull""",
     "fuel_winner": f"""WITH {_FUEL} {_BEST} UNION ALL SELECT 'fitIntercept', ic::INTEGER::DOUBLE FROM best
         UNION ALL SELECT 'maxIter', 1000""",
     "text_classifier_calibration": f"""SELECT count(*) AS n_rows, round(avg((lang = 'en')::INTEGER), 2) AS probability
