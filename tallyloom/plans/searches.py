@@ -192,6 +192,7 @@ _SEARCH = f"""{KM_TRIPS},
 def _penalized_sql(base: str, numeric: list[str], categories: list[str], points: list[tuple], folds: int, sweeps: int) -> str:
     """CTEs up to errors(point, held, rmse): each point's optimum on the training rows of each fold, by coordinate descent.
 
+    ``sweeps`` must be enough for the descent to arrive: more of them no longer change the rounded result.
     ``base`` has id, fold, y and the columns; its rows of fold -1 are the test part, and their error is that of the fit on all folds.
     """
     rows = ", ".join(f"({i}, {ic}, {s}::DOUBLE, {m}::DOUBLE)" for i, (ic, s, m) in enumerate(points))
@@ -236,7 +237,7 @@ def _fold_or_test(key: str, folds: int) -> str:
 
 _DURATION = _penalized_sql(
     f"{KM_TRIPS}, base AS (SELECT trip_id AS id, {_fold_or_test('trip_id', 5)} AS fold, duration::DOUBLE AS y, km, org, dow FROM flown)",
-    ["km"], ["org", "dow"], [("true", s, m) for s in STRENGTHS for m in MIXES], 5, 40,
+    ["km"], ["org", "dow"], [("true", s, m) for s in STRENGTHS for m in MIXES], 5, 400,
 )
 _FUEL = _penalized_sql(
     f"""{METRIC_CARS}, base AS (SELECT car_id AS id, {_fold_or_test('car_id', 10)} AS fold,
