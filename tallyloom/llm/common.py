@@ -29,6 +29,27 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stepwise(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """As ``saved``, for chains of large steps: the shuffle files of this step go when it is written, and the second
+    value deletes what was written, for when no later step reads it."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+    def discard() -> None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    return spark.read.schema(df.schema).parquet(path), discard
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

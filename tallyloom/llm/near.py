@@ -13,17 +13,17 @@ still in different groups are compared, until no two texts of a bucket that are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.common import components, partitions, per_worker, saved, text_slices
+from tallyloom.llm.common import components, partitions, per_worker, stepwise, text_slices
 from tallyloom.operators.keyed import fresh
 
-WORDS, BANDS, ROWS, SLOTS = 5, 12, 3, 1 << 20
+WORDS, BANDS, ROWS = 5, 12, 3
 #: A pair of likeness s is a candidate with probability 1 - (1 - s ** ROWS) ** BANDS: 0.9997 at 0.8.
 SAMPLES = BANDS * ROWS
 #: Bytes of text whose shingles one part of the frequencies holds, about.
@@ -75,16 +75,6 @@ def shingles(text: str | None) -> np.ndarray:
         return _mixed(runs)
 
 
-def _slots(kinds: np.ndarray) -> np.ndarray:
-    return (kinds >> np.uint64(64 - 20)).astype(np.int64)
-
-
-def weighted(text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different shingles in order of hash, and their weights by a table of ``SLOTS`` places; for small tables only."""
-    kinds, counts = np.unique(shingles(text), return_counts=True)
-    return kinds, counts.astype(np.float32) * idf[_slots(kinds)]
-
-
 def _weights(text: str, idf: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Different shingles in order of hash, and their weights by the inverse document frequency of each."""
     kinds, counts = np.unique(shingles(text), return_counts=True)
@@ -130,6 +120,16 @@ def bands(kinds: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _packed(rising: np.ndarray) -> bytes:
+    """Rising hashes as steps, their bytes by significance: the high ones are zeros, which the shuffle's codec takes out."""
+    return np.diff(rising, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T)
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
 def _asked(texts: list[str], copies: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
     """Different shingles of each text with their counts, and those of all of them in order of hash with the number of rows that have them."""
     own = [np.unique(shingles(t), return_counts=True) for t in texts]
@@ -139,8 +139,8 @@ def _asked(texts: list[str], copies: list[int]) -> tuple[list[tuple[np.ndarray,
     return own, kinds, held
 
 
-def with_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
-    """(own, doc, mark, idf, bands) per text: the inverse document frequency of each of its shingles in order of hash (floats), and its bands.
+def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, Callable[[], None]]:
+    """A written table (and what deletes it) of (own, doc, mark, idf, bands) per text: the inverse document frequency of each of its shingles in order of hash (floats), and its bands.
 
     ``texts``: batch, own, doc, mark, copies, text; ``n`` rows in all. A part holds the frequencies of a range of hashes.
     """
@@ -151,11 +151,11 @@ def with_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
             part = ((kinds >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(kinds) else np.zeros(0, np.int64)
             pieces = list(zip(cut.tolist(), [*cut[1:].tolist(), len(kinds)]))
-            blobs = ([x[low:high].tobytes() for low, high in pieces] for x in (kinds, held))
+            blobs = ([_packed(kinds[low:high]) for low, high in pieces], [held[low:high].tobytes() for low, high in pieces])
             yield pa.RecordBatch.from_arrays([pa.array(part[cut].astype(np.int64)), pa.array([number] * len(cut), pa.int64()), *(pa.array(b, pa.binary()) for b in blobs)], _ASKED)
 
     def answer(group: pa.Table) -> pa.Table:
-        kinds = [np.frombuffer(b, "<u8") for b in group["kinds"].to_pylist()]
+        kinds = [_unpacked(b) for b in group["kinds"].to_pylist()]
         held = [np.frombuffer(b, "<i8") for b in group["rows"].to_pylist()]
         found, at = np.unique(np.concatenate(kinds), return_inverse=True)
         total = np.bincount(at, np.concatenate(held), len(found)).astype(np.int64)  # exact below 2^53
@@ -165,22 +165,25 @@ def with_frequencies(texts: DataFrame, n: int, parts: int) -> DataFrame:
             more = all_rows > h
             low += len(k)
             if more.any():
-                out.append((number, k[more].tobytes(), all_rows[more].tobytes()))
+                out.append((number, _packed(k[more]), all_rows[more].tobytes()))
         return pa.table([pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["batch", "kinds", "rows"])
 
     def use(own: pa.Table, answers: pa.Table) -> pa.Table:
         idf, drawn = [], []
         each, kinds, held = _asked(own["text"].to_pylist(), own["copies"].to_pylist())
         for k, rows in zip(answers["kinds"].to_pylist(), answers["rows"].to_pylist()):
-            held[np.searchsorted(kinds, np.frombuffer(k, "<u8"))] = np.frombuffer(rows, "<i8")
+            held[np.searchsorted(kinds, _unpacked(k))] = np.frombuffer(rows, "<i8")
         for mine, counts in each:
             value = np.log1p(n / held[np.searchsorted(kinds, mine)]).astype("<f4")
             idf.append(value.tobytes())
             drawn.append(bands(mine, counts.astype(np.float32) * value) if len(mine) else _WORDLESS)
         return pa.table([own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(drawn, pa.list_(pa.int64()))], ["own", "doc", "mark", "idf", "bands"])
 
-    answers = texts.mapInArrow(ask, "part long, batch long, kinds binary, rows binary").groupBy("part").applyInArrow(answer, "batch long, kinds binary, rows binary")
-    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, bands array<long>")
+    # written on the way, so that the shuffle of the questions has gone before texts are dealt to their answers
+    answers, answers_read = stepwise(texts.mapInArrow(ask, "part long, batch long, kinds binary, rows binary").groupBy("part").applyInArrow(answer, "batch long, kinds binary, rows binary"), "near-answers")
+    weighed = stepwise(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, bands array<long>"), "near-weighed")
+    answers_read()
+    return weighed
 
 
 _ASKED = ["part", "batch", "kinds", "rows"]
@@ -256,64 +259,66 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
     rows = rows.select("doc", F.xxhash64("text").alias("mark"), digest("text").alias("own"), "text")
     # a text is known by the least id that has it and a hash; copies stay out of what follows
     whole = rows.groupBy("own").agg(F.min("doc").alias("doc"), F.first("mark").alias("mark"), F.count("*").alias("copies"), F.first("text").alias("text"))
-    texts = saved(whole.select("own", "doc", "mark", "copies", "text").mapInArrow(_dealt, "batch long, own binary, doc long, mark long, copies long, text string"), "near-texts")
+    texts, texts_read = stepwise(whole.select("own", "doc", "mark", "copies", "text").mapInArrow(_dealt, "batch long, own binary, doc long, mark long, copies long, text string"), "near-texts")
     n, size = texts.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(partitions(spark), size // PART_BYTES)
-    weighed = saved(with_frequencies(texts, n, parts), "near-weighed")
+    weighed, _ = with_frequencies(texts, n, parts)
     node = F.struct("doc", "mark").alias("node")
     members = weighed.select(node, F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").drop("n")
-    members = saved(members.join(shared, "bucket"), "near-members")
+    members, members_read = stepwise(members.join(shared, "bucket"), "near-members")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (u, v) that are alike. Only texts in pairs are sent about."""
+        """Those of the pairs (u, v) that are alike. Only texts in pairs are sent about, that of ``v`` once per pair and that of ``u``, which may have many partners, once."""
         needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
         needed = needed.select(F.col("node.doc").alias("doc"), F.col("node.mark").alias("mark"))
         held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, F.struct("text", "idf").alias("held"))
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last = (None, None)
+            last, own = None, None
             for batch in batches:
                 keep = []
-                for left, right in zip(batch["left"].to_pylist(), batch["right"].to_pylist()):
-                    if left != last[0]:
-                        last = (left, _weights(**left))
-                    keep.append(likeness(last[1], _weights(**right)) >= threshold)
+                for left, right, u in zip(batch["left"], batch["right"], batch["u"].to_pylist()):
+                    if u != last:
+                        last, own = u, _weights(**left.as_py())
+                    keep.append(likeness(own, _weights(**right.as_py())) >= threshold)
                 yield pa.RecordBatch.from_arrays([batch["u"], batch["v"]], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-        both = pairs.join(held.select(F.col("node").alias("u"), F.col("held").alias("left")), "u").join(held.select(F.col("node").alias("v"), F.col("held").alias("right")), "v")
+        both = pairs.join(held.select(F.col("node").alias("v"), F.col("held").alias("right")), "v").join(held.select(F.col("node").alias("u"), F.col("held").alias("left")), "u")
         return both.select("u", "v", "left", "right").mapInArrow(compare, pairs.schema)
 
-    def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> DataFrame:
+    def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> tuple[DataFrame, Callable[[], None]]:
         """Members of the buckets that hold several groups, with their own group and that of the bucket's first text."""
         placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "first", F.coalesce("group", "node").alias("group"))
         several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first"), F.col("group"))).alias("main")).where("low <> high").select("bucket", "main")
-        return saved(placed.join(several, "bucket"), "near-placed")
+        return stepwise(placed.join(several, "bucket"), "near-placed")
 
+    # what was compared and what is linked grow by a table each round
+    compared = links = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     # the least text of each bucket against the others: a few bands first, so that later ones find most texts in one group
-    nodes = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
-    links = compared = saved(nodes, "near-links")
     for bands_ in ((0,), (1, 2), tuple(range(3, BANDS))):
-        placed = placed_by(components(links, "u", "v").withColumnRenamed("root", "group"), bands_)
+        placed, placed_read = placed_by(components(links, "u", "v").withColumnRenamed("root", "group"), bands_)
         pairs = placed.where("group <> main").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
-        pairs = saved(pairs.join(compared, ["u", "v"], "left_anti"), "near-pairs")
-        compared, links = saved(compared.union(pairs), "near-compared"), saved(links.union(verified(pairs)).distinct(), "near-links")
+        pairs, _ = stepwise(pairs.join(compared, ["u", "v"], "left_anti"), "near-pairs")
+        compared, links = compared.union(pairs), links.union(stepwise(verified(pairs), "near-links")[0])
+        placed_read()
     # then texts outside the first one's group against all of other groups, some of them in each round
     at_once = 1
     while True:
         groups = components(links, "u", "v").withColumnRenamed("root", "group")
-        placed = placed_by(groups, tuple(range(BANDS)))
+        placed, placed_read = placed_by(groups, tuple(range(BANDS)))
         outside = placed.where("group <> main")
         turn = Window.partitionBy("bucket").orderBy("node")
         leaders = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once).select("bucket", F.col("node").alias("x"), F.col("group").alias("x_group"))
         across = placed.join(leaders, "bucket").where("group <> x_group").select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct()
-        pairs = saved(across.join(compared, ["u", "v"], "left_anti"), "near-pairs")
-        if pairs.isEmpty():
-            if outside.groupBy("bucket").count().where(F.col("count") > at_once).isEmpty():
-                break
-        else:
-            compared = saved(compared.union(pairs), "near-compared")
-            links = saved(links.union(verified(pairs)).distinct(), "near-links")
+        pairs, _ = stepwise(across.join(compared, ["u", "v"], "left_anti"), "near-pairs")
+        done = pairs.isEmpty() and outside.groupBy("bucket").count().where(F.col("count") > at_once).isEmpty()
+        compared, links = compared.union(pairs), links.union(stepwise(verified(pairs), "near-links")[0])
+        placed_read()
+        if done:
+            break
         at_once *= 4
+    texts_read()
+    members_read()
     found = weighed.select("own", node).join(groups, "node", "left").select("own", F.coalesce("group", "node").alias("group"))
     return rows.select("doc", "mark", "own").join(found, "own")

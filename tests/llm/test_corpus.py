@@ -4,7 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import compare
 import numpy as np
@@ -299,15 +299,19 @@ def test_repeats_of_many_texts_without_id(spark):
 
 def test_near_duplicate_classes_against_all_pairs(docs, texts, empty):
     got = {r.doc_id: r.class_id for r in near.near_duplicate_classes(docs).collect()}
-    counts = np.zeros(near.SLOTS)
-    for _, t in texts:
-        counts[np.unique(near._slots(near.shingles(t)))] += 1
-    idf = np.log1p(len(texts) / np.maximum(counts, 1)).astype(np.float32)
-    weighted = [near.weighted(t, idf) for _, t in texts]
+    runs = [Counter(near.shingles(t).tolist()) for _, t in texts]
+    having = Counter(k for own in runs for k in own)
+    weighted = [{k: c * np.log1p(len(texts) / having[k]) for k, c in own.items()} for own in runs]
+
+    def likeness(a, b):
+        least = sum(min(w, b[k]) for k, w in a.items() if k in b)
+        most = sum(a.values()) + sum(b.values()) - least
+        return least / most if most else 1.0
+
     group = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            if group[i] != group[j] and near.likeness(weighted[i], weighted[j]) >= 0.8:
+            if group[i] != group[j] and likeness(weighted[i], weighted[j]) >= 0.8:
                 group = [group[j] if g == group[i] else g for g in group]
     least = {}
     for g, (i, _) in zip(group, texts):
@@ -317,10 +321,10 @@ def test_near_duplicate_classes_against_all_pairs(docs, texts, empty):
 
 
 def test_unrelated_texts_do_not_change_a_likeness(spark):
-    """By exact frequencies the pair has 5 ln 6 / (5 ln 6 + ln 11) = 0.789; a shingle in the last one's hashed place would make it 0.833."""
+    """By exact frequencies the pair has 5 ln 6 / (5 ln 6 + ln 11) = 0.789; a shingle in the last one's place of 20 bits would make it 0.833."""
     words = [f"w{i}" for i in range(10)]
-    place = near._slots(near.shingles(" ".join(words[5:])))[0]
-    found = np.flatnonzero(near._slots(near.shingles(" ".join(f"q{i}" for i in range(12_000_000)))) == place)
+    place = (near.shingles(" ".join(words[5:])) >> np.uint64(44))[0]
+    found = np.flatnonzero(near.shingles(" ".join(f"q{i}" for i in range(12_000_000))) >> np.uint64(44) == place)
     strange = " ".join(f"q{i}" for i in range(found[0], found[0] + 5))
     texts = [" ".join(words), " ".join(words[:9]), strange, *(f"a{k} b c d e" for k in range(7))]
     got = {r.doc_id: r.class_id for r in near.near_duplicate_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
