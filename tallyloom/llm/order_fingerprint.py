@@ -1,9 +1,9 @@
 """Order MinHash fingerprints: minimal occurrence-numbered k-mers, kept in text order.
 
 A k-mer is ``KMER`` consecutive words; the same k-mer's occurrences in a text are numbered, so that a text is a set of
-(k-mer, number) pairs. One hash of a pair gives its bin, one of ``BINS``, and its order in it. From each bin the ``KEPT`` least pairs
-are taken, put back into text order and hashed as a tuple: moving or editing text changes tuples even where the
-set of words stays. Likeness is the share of equal tuples among the bins that either text has. Column functions only.
+(k-mer, number) pairs. One hash of a pair gives its bin, one of ``BINS``, and its order in it. For each bin the two least pairs
+are taken, from the bins after it (in a circle) where it holds fewer, put back into text order and hashed as a tuple: moving or
+editing text changes tuples even where the set of words stays, in short texts as well. Likeness is the share of equal tuples. Column functions only.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.llm.common import partitions
+from tallyloom.operators.keyed import fresh
 
 KMER, BINS, KEPT = 3, 64, 2
-#: Layout of a long: a sign bit of 0, 6 bits of bin and 31 of hash above 26 of place. Words of a text are below 2 ** 26.
+#: Layout of a long: a sign bit of 0, 6 bits of bin and 31 of hash above 26 of place. Words of a text are below 2 ** 26, which is 128 MB of
+#: text at least; beyond that places start again from 0.
 _PLACE_BITS = 26
 _PLACE = (1 << _PLACE_BITS) - 1
 _BIN_SHIFT = 57
@@ -25,59 +27,71 @@ def _hash(x: Column) -> Column:
 
 
 def with_tuples(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds as ``name`` the tuples of the string column ``text`` (null: empty): per bin that is not empty two hexadecimal
-    digits of the bin and eight of its tuple's hash, in order of bin.
+    """Adds as ``name`` the tuples of the string column ``text`` (null: empty): per bin two hexadecimal
+    digits of the bin and eight of its tuple's hash, in order of bin; nothing for a text without words.
 
-    Words are cut at blanks, tabs and line ends. A text of fewer than KMER words, but not none, is one k-mer.
+    Words are cut at blanks, tabs and line ends. A text of fewer than KMER words, but not none, is one k-mer; the tuples of a
+    text of one k-mer are that alone.
     """
+    words_, kmers_, pairs_, least_, tuples_ = (fresh(c, df) for c in ("_words", "_kmers", "_pairs", "_least", "_tuples"))
     kept = [F.col(f"`{c}`") for c in df.columns]
     words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), "[ \t\r\n]+"), "")
-    df = df.select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias("_words"))
+    df = df.select(*kept, F.transform(words, lambda w: F.xxhash64(w)).alias(words_))
 
     def above(hashed: Column, place: Column) -> Column:
         return F.shiftleft(F.shiftrightunsigned(hashed, _PLACE_BITS + 1), _PLACE_BITS).bitwiseOR(place.cast("long"))
 
     none = F.array().cast("array<bigint>")
-    last = F.size("_words") - KMER
-    kmers = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: above(F.xxhash64(*(F.get("_words", i + k) for k in range(KMER))), i))
-    short = F.when(F.size("_words") > 0, F.array(above(F.xxhash64(F.array_join(F.transform("_words", lambda w: w.cast("string")), " ")), F.lit(0)))).otherwise(none)
+    last = F.size(words_) - KMER
+    kmers = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: above(F.xxhash64(*(F.get(words_, i + k) for k in range(KMER))), i))
+    short = F.when(F.size(words_) > 0, F.array(above(F.xxhash64(F.array_join(F.transform(words_, lambda w: w.cast("string")), " ")), F.lit(0)))).otherwise(none)
     # equal k-mers come together, in text order
-    df = df.select(*kept, F.sort_array(F.when(last >= 0, kmers).otherwise(short)).alias("_kmers"))
+    df = df.select(*kept, F.sort_array(F.when(last >= 0, kmers).otherwise(short)).alias(kmers_))
 
     def number(x: Column, i: Column) -> Column:
         """How many equal k-mers come before: found bit by bit, as equal ones stand together in the sorted array."""
         bits = F.array(*(F.lit(1 << b) for b in range(_PLACE_BITS - 1, -1, -1)))
-        return F.aggregate(bits, F.lit(0), lambda n, bit: F.when((i >= n + bit) & (_hash(F.get("_kmers", i - n - bit)) == _hash(x)), n + bit).otherwise(n))
+        return F.aggregate(bits, F.lit(0), lambda n, bit: F.when((i >= n + bit) & (_hash(F.get(kmers_, i - n - bit)) == _hash(x)), n + bit).otherwise(n))
 
     def pair(x: Column, i: Column) -> Column:
-        repeated = (i > 0) & (_hash(F.get("_kmers", i - 1)) == _hash(x))
+        repeated = (i > 0) & (_hash(F.get(kmers_, i - 1)) == _hash(x))
         return above(F.xxhash64(_hash(x), F.when(repeated, number(x, i)).otherwise(F.lit(0))), x.bitwiseAND(_PLACE))
 
-    df = df.select(*kept, F.sort_array(F.transform("_kmers", pair)).alias("_pairs"))
+    df = df.select(*kept, F.sort_array(F.transform(kmers_, pair)).alias(pairs_))
     bin_of = lambda x: F.shiftright(x, _BIN_SHIFT)
-    least = F.filter("_pairs", lambda x, i: (i < KEPT) | (bin_of(F.get("_pairs", i - KEPT)) != bin_of(x)))
-    df = df.select(*kept, least.alias("_least"))
+    least = F.filter(pairs_, lambda x, i: (i < KEPT) | (bin_of(F.get(pairs_, i - KEPT)) != bin_of(x)))
+    df = df.select(*kept, least.alias(least_))
+
+    final = F.size(least_) - 1
 
     def joined(x: Column, i: Column) -> Column:
-        """The tuple's text for the first pair of a bin, null for the second."""
-        other = F.get("_least", i + 1)
+        """The tuple that begins with a pair, for its bin and the empty ones before it; nothing for the second pair of a bin."""
+        other = F.get(least_, F.when(i < final, i + 1).otherwise(F.lit(0)))
         place = lambda v: v.bitwiseAND(_PLACE)
         hashed = (
-            F.when(other.isNull() | (bin_of(other) != bin_of(x)), F.xxhash64(_hash(x)))
+            F.when(place(x) == place(other), F.xxhash64(_hash(x)))
             .when(place(x) < place(other), F.xxhash64(_hash(x), _hash(other)))
             .otherwise(F.xxhash64(_hash(other), _hash(x)))
         )
-        entry = F.hex(F.shiftleft(bin_of(x), 32).bitwiseOR(hashed.bitwiseAND((1 << 32) - 1)))
-        return F.when((i == 0) | (bin_of(F.get("_least", i - 1)) != bin_of(x)), F.lpad(entry, 10, "0"))
+        before = F.when(i > 0, bin_of(F.get(least_, i - 1))).otherwise(F.lit(-1).cast("long"))
+        return F.when(before < bin_of(x), F.struct((before + 1).alias("low"), bin_of(x).alias("high"), hashed.bitwiseAND((1 << 32) - 1).alias("hashed")))
+
+    df = df.select(*kept, F.array_compact(F.transform(least_, joined)).alias(tuples_))
+
+    def entries(low: Column, high: Column, hashed: Column) -> Column:
+        return F.transform(F.sequence(low, high), lambda b: F.lpad(F.hex(F.shiftleft(b, 32).bitwiseOR(hashed)), 10, "0"))
 
-    return df.select(*kept, F.array_compact(F.transform("_least", joined)).alias(name))
+    # bins after the last pair begin again with the first one
+    filled = F.flatten(F.transform(tuples_, lambda t: entries(t["low"], t["high"], t["hashed"])))
+    end = F.get(tuples_, F.size(tuples_) - 1)["high"]
+    over = F.when(end < BINS - 1, entries(end + 1, F.lit(BINS - 1).cast("long"), F.get(tuples_, F.lit(0))["hashed"])).otherwise(F.array().cast("array<string>"))
+    return df.select(*kept, F.when(F.size(tuples_) > 0, F.concat(filled, over)).otherwise(F.array().cast("array<string>")).alias(name))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal tuples among the bins that either text has; 1 if neither has any."""
-    bins = lambda c: F.transform(c, lambda e: F.substring(e, 1, 2))
-    either = F.size(F.array_union(bins(a), bins(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
+    """Share of equal tuples; 1 if neither text has any."""
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / most)
 
 
 def fingerprint(tuples: Column) -> Column:

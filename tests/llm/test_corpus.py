@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import compare
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -258,6 +260,58 @@ def test_order_fingerprint_follows_order_and_repeats(spark):
     assert len(set(got[3]) & set(got[4])) > 0.7 * len(got[3])
 
 
+def _tuples(text):
+    """One after another, by the definition: for each bin the two least pairs from it on, in a circle."""
+
+    def hashed(*values, seed=42):
+        for v in values:
+            seed = xxhash.xxh64(v if isinstance(v, bytes) else v.to_bytes(8, "little", signed=True), seed=seed).intdigest()
+        return seed
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    words = [signed(hashed(w.encode())) for w in re.split("[ \t\r\n]+", text or "") if w]
+    kmers = [hashed(*words[i : i + 3]) >> 27 for i in range(len(words) - 2)] if len(words) > 2 else [hashed(" ".join(map(str, words)).encode()) >> 27] * bool(words)
+    seen, pairs = Counter(), []
+    for place, k in enumerate(kmers):
+        pairs.append((hashed(k, seen[k].to_bytes(4, "little")) >> 27, place))
+        seen[k] += 1
+    pairs.sort()
+    out = []
+    for b in range(64) if pairs else ():
+        start = next((i for i, (h, _) in enumerate(pairs) if h >> 31 >= b), 0)
+        two = sorted({pairs[start], pairs[(start + 1) % len(pairs)]}, key=lambda p: p[1])
+        out.append(f"{b << 32 | hashed(*(h for h, _ in two)) & 0xFFFFFFFF:010X}")
+    return out
+
+
+def test_order_fingerprints_against_brute_force(spark, texts):
+    given = [*texts, (1_000_001, "a b c " * 70), (1_000_002, "one two"), (1_000_003, "x y z"), (1_000_004, "x y z u"), (None, None)]
+    rows = spark.createDataFrame(given, "doc_id long, text string").selectExpr("*", "1 AS _words", "2 AS _pairs", "3 AS _least")
+    got = order_fingerprint.with_tuples(rows, "text", "tuples").collect()
+    assert len(got) == len(given) and all(r.tuples == _tuples(r.text) and (r._words, r._pairs, r._least) == (1, 2, 3) for r in got)
+    near = order_fingerprint.compare_with_next(rows.where("doc_id IS NOT NULL")).collect()
+    own = {i: t or "" for i, t in given if i is not None}
+    ids = sorted(own)
+    for r in near:
+        text, after = own[r.doc_id], own[ids[(ids.index(r.doc_id) + 1) % len(ids)]]
+        half = len(text) // 2
+        a, b = _tuples(text), _tuples(text[: len(text) - half] + after[:half])
+        assert r.edited_fingerprint == ".".join(b) and r.near_edited == pytest.approx(len(set(a) & set(b)) / max(len(a), len(b), 1) if a or b else 1.0)
+
+
+def test_order_counts_in_short_texts_as_in_long_ones(spark):
+    """Texts with their halves swapped."""
+    means = {}
+    for n in (20, 30, 60, 200, 1000):
+        rows = []
+        for k in range(60):
+            words = [f"v{k}n{n}w{j}" for j in range(n)]
+            rows.append((" ".join(words), " ".join(words[n // 2 :] + words[: n // 2])))
+        both = order_fingerprint.with_tuples(order_fingerprint.with_tuples(spark.createDataFrame(rows, "a string, b string"), "a", "one"), "b", "two")
+        means[n] = both.agg(F.avg(order_fingerprint.likeness(F.col("one"), F.col("two")))).first()[0]
+    assert 0.4 < means[1000] < 0.6 and all(means[n] <= means[1000] + 0.05 for n in means) and means[20] > 0.15
+
+
 def _kept(texts, length):
     seen, out = set(), {}
     for i, t in sorted(texts, key=lambda r: (r[0] is not None, r[0])):
