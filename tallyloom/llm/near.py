@@ -8,7 +8,8 @@ the same sample with a probability equal to their likeness. Texts that agree in
 candidates, and every link is verified on the whole texts.
 
 A band's bucket is not expanded into all pairs: its least text is compared with the others; then only texts that are
-still in different groups are compared, until no two texts of a bucket that are in different groups remain uncompared.
+still in different groups are compared, until no two texts of a bucket that are in different groups remain uncompared. Pairs
+whose weights differ too much to be alike are left out: weighted Jaccard similarity is at most the ratio of the weights.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ WORDS, BANDS, ROWS = 5, 12, 3
 SAMPLES = BANDS * ROWS
 #: Bytes of text whose shingles one part of the frequencies holds, about.
 PART_BYTES = 16 << 20
+#: Bytes of partners that one text is compared with in one group, about.
+BLOCK_BYTES = 8 << 20
 #: Stands for a null id: it comes before all others.
 NO_ID = -(1 << 63)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -140,7 +143,8 @@ def _asked(texts: list[str], copies: list[int]) -> tuple[list[tuple[np.ndarray,
 
 
 def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, Callable[[], None]]:
-    """A written table (and what deletes it) of (own, doc, mark, idf, bands) per text: the inverse document frequency of each of its shingles in order of hash (floats), and its bands.
+    """A written table (and what deletes it) of (own, doc, mark, idf, weight, bands) per text: the inverse document frequency of each of its
+    shingles in order of hash (floats), the sum of their weights, and its bands.
 
     ``texts``: batch, own, doc, mark, copies, text; ``n`` rows in all. A part holds the frequencies of a range of hashes.
     """
@@ -169,19 +173,22 @@ def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, C
         return pa.table([pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["batch", "kinds", "rows"])
 
     def use(own: pa.Table, answers: pa.Table) -> pa.Table:
-        idf, drawn = [], []
+        idf, total, drawn = [], [], []
         each, kinds, held = _asked(own["text"].to_pylist(), own["copies"].to_pylist())
         for k, rows in zip(answers["kinds"].to_pylist(), answers["rows"].to_pylist()):
             held[np.searchsorted(kinds, _unpacked(k))] = np.frombuffer(rows, "<i8")
         for mine, counts in each:
             value = np.log1p(n / held[np.searchsorted(kinds, mine)]).astype("<f4")
+            weights = counts.astype(np.float32) * value
             idf.append(value.tobytes())
-            drawn.append(bands(mine, counts.astype(np.float32) * value) if len(mine) else _WORDLESS)
-        return pa.table([own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(drawn, pa.list_(pa.int64()))], ["own", "doc", "mark", "idf", "bands"])
+            total.append(float(weights.sum(dtype=np.float64)))
+            drawn.append(bands(mine, weights) if len(mine) else _WORDLESS)
+        columns = [own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(total, pa.float64()), pa.array(drawn, pa.list_(pa.int64()))]
+        return pa.table(columns, ["own", "doc", "mark", "idf", "weight", "bands"])
 
     # written on the way, so that the shuffle of the questions has gone before texts are dealt to their answers
     answers, answers_read = stepwise(texts.mapInArrow(ask, "part long, batch long, kinds binary, rows binary").groupBy("part").applyInArrow(answer, "batch long, kinds binary, rows binary"), "near-answers")
-    weighed = stepwise(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, bands array<long>"), "near-weighed")
+    weighed = stepwise(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, weight double, bands array<long>"), "near-weighed")
     answers_read()
     return weighed
 
@@ -264,60 +271,82 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
     parts = max(partitions(spark), size // PART_BYTES)
     weighed, _ = with_frequencies(texts, n, parts)
     node = F.struct("doc", "mark").alias("node")
-    members = weighed.select(node, F.posexplode("bands").alias("band", "bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").drop("n")
+    members = weighed.select(node, "weight", (F.octet_length("idf") * 3).cast("long").alias("size"), F.posexplode("bands").alias("band", "bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "weight", "size")).alias("first")).where("n > 1").drop("n")
     members, members_read = stepwise(members.join(shared, "bucket"), "near-members")
 
+    def fit(a: str, b: str) -> Column:
+        """Likeness is at most the ratio of the weights; other pairs need no look."""
+        return F.least(a, b) >= (threshold - 1e-6) * F.greatest(a, b)
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (u, v) that are alike. Only texts in pairs are sent about, that of ``v`` once per pair and that of ``u``, which may have many partners, once."""
+        """Those of the pairs (u, v, size of v) that are alike. Only texts in pairs are sent about: that of ``v`` once per
+        pair, that of ``u`` once per block of partners, of some ``BLOCK_BYTES`` each."""
         needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
         needed = needed.select(F.col("node.doc").alias("doc"), F.col("node.mark").alias("mark"))
-        held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, F.struct("text", "idf").alias("held"))
+        held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, "text", "idf")
+        loads = pairs.groupBy("u").agg((F.floor(F.sum("size") / BLOCK_BYTES) + 1).cast("int").alias("blocks"))
+        right = pairs.join(loads, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block")).join(held.withColumnRenamed("node", "v"), "v")
+        left = loads.select("u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(held.withColumnRenamed("node", "u"), "u")
+        left = left.select(*(F.col(c).alias(f"own_{c}") for c in ("u", "block", "text", "idf")))
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last, own = None, None
-            for batch in batches:
-                keep = []
-                for left, right, u in zip(batch["left"], batch["right"], batch["u"].to_pylist()):
-                    if u != last:
-                        last, own = u, _weights(**left.as_py())
-                    keep.append(likeness(own, _weights(**right.as_py())) >= threshold)
-                yield pa.RecordBatch.from_arrays([batch["u"], batch["v"]], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+        def compare(one: pa.Table, partners: pa.Table) -> pa.Table:
+            if not len(partners):  # a block that no partner fell into
+                return partners.select(["u", "v"])
+            own = _weights(one["own_text"][0].as_py(), one["own_idf"][0].as_py())
+            keep = [likeness(own, _weights(t.as_py(), i.as_py())) >= threshold for t, i in zip(partners["text"], partners["idf"])]
+            return partners.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-        both = pairs.join(held.select(F.col("node").alias("v"), F.col("held").alias("right")), "v").join(held.select(F.col("node").alias("u"), F.col("held").alias("left")), "u")
-        return both.select("u", "v", "left", "right").mapInArrow(compare, pairs.schema)
+        return left.groupBy("own_u", "own_block").cogroup(right.groupBy("u", "block")).applyInArrow(compare, pairs.select("u", "v").schema)
 
     def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> tuple[DataFrame, Callable[[], None]]:
         """Members of the buckets that hold several groups, with their own group and that of the bucket's first text."""
-        placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "first", F.coalesce("group", "node").alias("group"))
-        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first"), F.col("group"))).alias("main")).where("low <> high").select("bucket", "main")
+        placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "weight", "size", "first", F.coalesce("group", "node").alias("group"))
+        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first.node"), F.col("group"))).alias("main")).where("low <> high").select("bucket", "main")
         return stepwise(placed.join(several, "bucket"), "near-placed")
 
     # what was compared and what is linked grow by a table each round
     compared = links = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    groups = weighed.select(node).limit(0).select("node", F.col("node").alias("group"))
+
+    def look(pairs: DataFrame) -> bool:
+        """Compare pairs that were not compared before; are there new links?"""
+        nonlocal compared, links, groups
+        pairs, _ = stepwise(pairs.groupBy("u", "v").agg(F.first("size").alias("size")).join(compared, ["u", "v"], "left_anti"), "near-pairs")
+        if pairs.isEmpty():
+            return False
+        compared = compared.union(pairs.select("u", "v"))
+        found, _ = stepwise(verified(pairs), "near-links")
+        if found.isEmpty():
+            return False
+        links = links.union(found)
+        groups = components(links, "u", "v").withColumnRenamed("root", "group")
+        return True
+
     # the least text of each bucket against the others: a few bands first, so that later ones find most texts in one group
     for bands_ in ((0,), (1, 2), tuple(range(3, BANDS))):
-        placed, placed_read = placed_by(components(links, "u", "v").withColumnRenamed("root", "group"), bands_)
-        pairs = placed.where("group <> main").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
-        pairs, _ = stepwise(pairs.join(compared, ["u", "v"], "left_anti"), "near-pairs")
-        compared, links = compared.union(pairs), links.union(stepwise(verified(pairs), "near-links")[0])
+        placed, placed_read = placed_by(groups, bands_)
+        look(placed.where("group <> main").where(fit("weight", "first.weight")).select(F.col("first.node").alias("u"), F.col("node").alias("v"), "size"))
         placed_read()
     # then texts outside the first one's group against all of other groups, some of them in each round
-    at_once = 1
+    at_once, placed = 1, None
     while True:
-        groups = components(links, "u", "v").withColumnRenamed("root", "group")
-        placed, placed_read = placed_by(groups, tuple(range(BANDS)))
+        if placed is None:
+            placed, placed_read = placed_by(groups, tuple(range(BANDS)))
         outside = placed.where("group <> main")
         turn = Window.partitionBy("bucket").orderBy("node")
-        leaders = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once).select("bucket", F.col("node").alias("x"), F.col("group").alias("x_group"))
-        across = placed.join(leaders, "bucket").where("group <> x_group").select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct()
-        pairs, _ = stepwise(across.join(compared, ["u", "v"], "left_anti"), "near-pairs")
-        done = pairs.isEmpty() and outside.groupBy("bucket").count().where(F.col("count") > at_once).isEmpty()
-        compared, links = compared.union(pairs), links.union(stepwise(verified(pairs), "near-links")[0])
-        placed_read()
-        if done:
+        leaders = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once)
+        leaders = leaders.select("bucket", F.col("node").alias("x"), F.col("group").alias("x_group"), F.col("weight").alias("x_weight"), F.col("size").alias("x_size"))
+        across = placed.join(leaders, (placed["bucket"] == leaders["bucket"]) & (F.col("group") != F.col("x_group")) & fit("weight", "x_weight"))
+        u, v = F.least(F.struct("node", "size"), F.struct(F.col("x").alias("node"), F.col("x_size").alias("size"))), F.greatest(F.struct("node", "size"), F.struct(F.col("x").alias("node"), F.col("x_size").alias("size")))
+        linked = look(across.select(u.alias("a"), v.alias("b")).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("b.size").alias("size")))
+        if not linked and outside.groupBy("bucket").count().where(F.col("count") > at_once).isEmpty():
             break
+        if linked:
+            placed_read()
+            placed = None
         at_once *= 4
+    placed_read()
     texts_read()
     members_read()
     found = weighed.select("own", node).join(groups, "node", "left").select("own", F.coalesce("group", "node").alias("group"))
