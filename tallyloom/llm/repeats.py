@@ -28,7 +28,7 @@ GRAM = 32
 #: Different segments beyond which a bucket is cut into single strings.
 WIDE_BUCKET = 20_000
 #: Bytes of segments that one expansion takes at once; buckets are never parted by it.
-EXPANSION_BYTES = 1 << 20
+EXPANSION_BYTES = 1 << 18
 _BASE, _BASE2, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 #: A text is hashed in stretches, so that a place in one has 24 bits.
 _STRETCH, _PLACE = 1 << 23, np.uint64((1 << 24) - 1)
@@ -111,50 +111,59 @@ def expand(parts: list[bytes], length: int) -> np.ndarray:
     part = np.repeat(np.arange(len(parts)), sizes)
     end = ends[part]
     place = np.arange(n)
-    # suffix order by doubling; ends of parts are different, lowest symbols
+    # suffix order by doubling, of places whose rank is shared so far; ends of parts are different, lowest symbols.
+    # It is exact in the first known - 7 bytes, ends included; order beyond ``length`` bytes does not matter
     key = np.zeros(n, np.int64)
     for k in range(7):
         at = place + k
         key = key * 257 + np.where(at < end, text[np.minimum(at, n - 1)], 0)
-    known = 7
+    order = np.argsort(key)
+    key = key[order]
+    slots, rank = place, np.empty(n, np.int64)
+    ranked, known = order, 7
     while True:
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
-        if new.all():
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[ranked] = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        alone = new & np.concatenate([new[1:], [True]])
+        slots, ranked = slots[~alone], ranked[~alone]
+        if not len(slots) or known - 7 >= length:
             break
-        at = place + known
-        key = rank * (n + len(parts) + 1) + np.where(at <= end, rank[np.minimum(at, n - 1)] + len(parts), part)
+        at = ranked + known
+        key = rank[ranked] * (n + len(parts) + 1) + np.where(at <= end[ranked], rank[np.minimum(at, n - 1)] + len(parts), part[ranked])
+        by = np.argsort(key)
+        key, ranked = key[by], ranked[by]
+        order[slots] = ranked
         known *= 2
     # Burrows-Wheeler transform: what stands before each suffix; at the start of a part its own lowest symbol
     first = np.zeros(n, bool)
     first[np.concatenate([[0], ends[:-1] + 1])] = True
-    before = np.where(first[order], 0, text[order - 1])
-    row = np.empty(n, np.int64)
-    row[order] = place
-    step = np.where(first[order], -1, row[order - 1])  # row of the suffix that is one byte longer
+    before = ~first[order]
+    row = np.empty(n, np.int32)
+    row[order] = np.arange(n, dtype=np.int32)
+    step = row[order - 1]  # row of the suffix that is one byte longer
+    back = row[np.minimum(order + 1, n - 1)]  # row of the suffix that is one byte shorter
     lcp_met = np.zeros(n + 1, bool)
     # level 0: intervals of single symbols; each end of a part is a symbol of its own
-    symbol = text[order]
+    symbol = text[order].astype(np.int16)
     starts = np.flatnonzero(np.concatenate([[True], (symbol[1:] != symbol[:-1]) | (symbol[1:] == 0)]))
     low, high = starts, np.concatenate([starts[1:], [n]])
     lcp_met[high] = True
+    owner, longer = np.empty(n, np.int32), np.zeros(n, bool)
     for _ in range(1, length):
         if not len(low):
             break
         width = high - low
-        owner = np.repeat(np.arange(len(low)), width)
-        rows = np.arange(len(owner)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low, width)
-        keep = before[rows] != 0
-        rows, owner = rows[keep], owner[keep]
-        if not len(rows):
+        number = np.repeat(np.arange(len(low), dtype=np.int32), width)
+        rows = np.arange(len(number), dtype=np.int32) + np.repeat((low - (np.cumsum(width) - width)).astype(np.int32), width)
+        owner[rows] = number
+        # rows of the longer suffixes, in order; their first symbol is what stood before
+        longer[step[rows[before[rows]]]] = True
+        target = np.flatnonzero(longer)
+        if not len(target):
             break
-        target, char = step[rows], before[rows]
-        by = np.argsort(target)
-        target, owner, char = target[by], owner[by], char[by]
-        cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (char[1:] != char[:-1])]))
+        longer[target] = False
+        whose, char = owner[back[target]], symbol[target]
+        cut = np.flatnonzero(np.concatenate([[True], (whose[1:] != whose[:-1]) | (char[1:] != char[:-1])]))
         low, high = target[cut], target[np.concatenate([cut[1:] - 1, [len(target) - 1]])] + 1
         fresh = ~lcp_met[high]
         low, high = low[fresh], high[fresh]
