@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.operators import coding, metrics, models, reports, split, tuning, wrangle
+from tallyloom.operators import coding, metrics, models, ordered, reports, split, tuning, wrangle
 from tallyloom.plans.checks import DELAYS, TRIPS, bucket, in_train
 from tallyloom.plans.growth import tree_sql
 from tallyloom.plans.scores import auc_sql
@@ -260,9 +260,49 @@ def depth_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tuning.winner_report(found, test, RandomForestClassificationModel, ["maxDepth", "bootstrap"])
 
 
+#: The bin of the flight number, of which there are thousands, that of the airport, and the month.
+ORDERED = ["flight_bin", "org_bin", "mon"]
+ORDER_BINS = 32
+
+
+def _long_trips(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = trips(spark, sf_dir).select("trip_id", "flight", "org", "mon", (F.col("duration") >= 150).cast("int").alias("label"))
+    return split.stable_split(rows, "trip_id")
+
+
+def flight_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight numbers by their share of long trips, in bins of about equal numbers of trips."""
+    train, _ = _long_trips(spark, sf_dir)
+    return ordered.order_levels(train, "flight", "label", ORDER_BINS).levels.select("level", "n_rows", F.round("mean_label", 9).alias("mean_label"), "bin")
+
+
+def _ordered_tree(spark: SparkSession, sf_dir: str) -> tuple[Model, DataFrame, DataFrame]:
+    """The tree and both parts with their bins; the order of the levels is learned from training trips only."""
+    parts = _long_trips(spark, sf_dir)
+    for order in [ordered.order_levels(parts[0], c, "label", ORDER_BINS) for c in ("flight", "org")]:
+        parts = [order.apply(part, F.col("trip_id"), f"{order.category}_bin") for part in parts]
+    train, test = (coding.assemble_stage(ORDERED).transform(part) for part in parts)
+    with models.cached(train):
+        return models.tree(seed=SEED, maxDepth=DEPTH, maxBins=2 * ORDER_BINS).fit(train), train, test
+
+
+def flight_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of a tree over a category of thousands of levels."""
+    fitted, train, _ = _ordered_tree(spark, sf_dir)
+    nodes = reports.node_table(fitted, train)
+    return nodes.select("n_rows", "feature", "threshold", F.round("gain", 8).alias("gain"), "prediction", "is_leaf")
+
+
+def flight_tree_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, ratios and area of that tree on held-out trips, unseen flight numbers included."""
+    fitted, _, test = _ordered_tree(spark, sf_dir)
+    return metrics.scores_report(models.stack_scores({"tree": fitted}, test)).select("model", "metric", F.round("value", 6).alias("value"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        flight_levels, flight_tree_nodes, flight_tree_report,
         deep_tree_report, deep_tree_nodes, deep_tree_sizes, deep_tree_importances, depth_grid, depth_winner,
         tree_exact, forest_exact, boosted_exact, tree_shape, exact_importances, tree_stump, stump_leaves,
         stump_compare, model_compare, importances, tree_sizes, tree_rules, delay_tree_report, origin_report,
@@ -290,6 +330,21 @@ _STUMP = f"""{DELAYS}, base AS (SELECT floor(depart)::INTEGER AS hour, mon, labe
 _BINNED = f"""{DELAYS}, binned AS (SELECT trip_id AS id, CASE WHEN {in_train('trip_id')} THEN {bucket('trip_id', 3, 'fold')} ELSE -1 END AS fold,
         (label = 1 AND (duration >= 150 OR mon >= 9))::INTEGER AS label, floor(depart)::INTEGER AS hour, mon, floor(duration / 30)::INTEGER AS halves FROM delays)"""
 _DEEP = f"{_BINNED}, {tree_sql('binned', BINNED, DEPTH)}"
+
+
+def _order_sql(column: str) -> str:
+    """CTEs <column>_levels(level, n_rows, mean_label, bin) and <column>_other(bin), from the training rows of ``long_trips``."""
+    return f"""{column}_means AS (SELECT {column}::VARCHAR AS level, count(*) AS n_rows, sum(label)::DOUBLE / count(*) AS mean_label FROM long_trips WHERE fold >= 0 GROUP BY 1),
+    {column}_levels AS (SELECT level, n_rows, mean_label, (coalesce(sum(n_rows) OVER (ORDER BY mean_label, level ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        * {ORDER_BINS} // (SELECT sum(n_rows) FROM {column}_means))::INTEGER AS bin FROM {column}_means),
+    {column}_other AS (SELECT min(bin) AS bin FROM {column}_levels WHERE mean_label >= (SELECT sum(label)::DOUBLE / count(*) FROM long_trips WHERE fold >= 0))"""
+
+
+_LONG = f"""{TRIPS}, long_trips AS (SELECT trip_id AS id, flight, org, mon, (duration >= 150)::INTEGER AS label, CASE WHEN {in_train('trip_id')} THEN 0 ELSE -1 END AS fold FROM trips),
+    {_order_sql('flight')}, {_order_sql('org')}"""
+_ORDERED = f"""{_LONG}, ordered AS (SELECT id, fold, label, coalesce(f.bin, (SELECT bin FROM flight_other)) AS flight_bin, coalesce(o.bin, (SELECT bin FROM org_other)) AS org_bin, mon
+        FROM long_trips LEFT JOIN flight_levels f ON f.level = flight::VARCHAR LEFT JOIN org_levels o ON o.level = org), {tree_sql('ordered', ORDERED, DEPTH)}"""
+_ORDERED_VALUES = " UNION ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS v FROM ordered WHERE fold >= 0" for c in ORDERED)
 _DEPTHS = ", ".join([_BINNED, *(tree_sql("binned", BINNED, d, 3, f"d{d}") for d in (1, 2, DEPTH))])
 _STACKED = " UNION ALL ".join(f"SELECT {i} AS point, {d} AS depth, held, label, share AS score, held * 10 + {i} AS run FROM d{d}_reached" for i, d in enumerate((1, 2, DEPTH)))
 _DEPTH_GRID = f"""{_DEPTHS}, stacked AS ({_STACKED}), {auc_sql('stacked', 'run')},
@@ -302,6 +357,17 @@ _DOCS = {
 }
 
 ORACLES = {
+    "flight_levels": f"WITH {_LONG} SELECT level, n_rows, round(mean_label, 9) AS mean_label, bin FROM flight_levels",
+    "flight_tree_report": f"""WITH {_ORDERED}, counts AS (SELECT count(*) FILTER (prediction = 0 AND label = 0)::DOUBLE AS tn, count(*) FILTER (prediction = 1 AND label = 1)::DOUBLE AS tp,
+            count(*) FILTER (prediction = 0 AND label = 1)::DOUBLE AS fn, count(*) FILTER (prediction = 1 AND label = 0)::DOUBLE AS fp FROM t_reached),
+        {auc_sql('t_reached', score='share')}, wide AS (SELECT counts.*, (tn + tp) / (tn + tp + fn + fp) AS accuracy, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall, auc FROM counts, areas),
+        tall AS (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)
+        SELECT model, metric, round(value, 6) AS value FROM tall, (VALUES ('tree')) AS models(model)""",
+    # a threshold is halfway to the next value that any training row has
+    "flight_tree_nodes": f"""WITH {_ORDERED}, seen AS ({_ORDERED_VALUES})
+        SELECT n::BIGINT AS n_rows, CASE WHEN NOT is_leaf THEN t.feature END AS feature,
+            CASE WHEN NOT is_leaf THEN (cut + (SELECT min(v) FROM seen WHERE seen.feature = t.feature AND v > cut)) / 2 END AS threshold,
+            CASE WHEN NOT is_leaf THEN round(gain, 8) END AS gain, prediction::DOUBLE AS prediction, is_leaf FROM t_nodes t""",
     "deep_tree_report": f"""WITH {_DEEP}, counts AS (SELECT count(*) FILTER (prediction = 0 AND label = 0)::DOUBLE AS tn, count(*) FILTER (prediction = 1 AND label = 1)::DOUBLE AS tp,
             count(*) FILTER (prediction = 0 AND label = 1)::DOUBLE AS fn, count(*) FILTER (prediction = 1 AND label = 0)::DOUBLE AS fp FROM t_reached),
         {auc_sql('t_reached', score='share')}, wide AS (SELECT counts.*, (tn + tp) / (tn + tp + fn + fp) AS accuracy, tp / (tp + fp) AS precision, tp / (tp + fn) AS recall, auc FROM counts, areas),
