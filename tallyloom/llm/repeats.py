@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyloom.llm.common import partitions, saved, text_slices
+from tallyloom.llm.common import partitions, stepwise, text_slices
 
 #: Bytes of the runs whose least hash names the bucket.
 GRAM = 32
@@ -200,9 +200,9 @@ def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id",
 
     rows = texts.mapInArrow(split, _AT)
     many = texts.select("text").mapInArrow(count, "bucket long").groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    met = saved(rows.join(many, "bucket", "left_semi"), "met-segments")
+    met, _ = stepwise(rows.join(many, "bucket", "left_semi"), "met-segments")
     kinds = met.groupBy("bucket", "content").agg(F.min(F.struct("doc_id", "mark", "at")).alias("first"), F.count("*").alias("n"))
-    kinds = saved(kinds, "segment-kinds")
+    kinds, _ = stepwise(kinds, "segment-kinds")
     strings = F.col("at").bitwiseAND(255)
     begin = F.shiftright(F.col("at"), 8)
     copies = met.join(kinds.where("n > 1").drop("n"), ["bucket", "content"]).where(F.struct("doc_id", "mark", "at") > F.col("first"))
@@ -210,7 +210,7 @@ def find_repeats(docs: DataFrame, length: int = 100, id_column: str = "doc_id",
 
     # buckets whose segments differ: the first of each kind goes on as text
     mixed = kinds.groupBy("bucket").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    wanted = saved(
+    wanted, _ = stepwise(
         kinds.join(mixed, "bucket").select("bucket", "kinds", "first.doc_id", "first.mark", "first.at").select(
             "bucket", "doc_id", "mark", begin.alias("start"), strings.alias("strings"), (F.col("kinds") > wide_bucket).alias("wide")
         ),
