@@ -9,7 +9,8 @@ candidates, and every link is verified on the whole texts.
 
 A band's bucket is not expanded into all pairs: its least text is compared with the others; then only texts that are
 still in different groups are compared, until no two texts of a bucket that are in different groups remain uncompared. Pairs
-whose weights differ too much to be alike are left out: weighted Jaccard similarity is at most the ratio of the weights.
+that can't be alike are left out before texts are sent about: weighted Jaccard similarity is at most the ratio of the weights, and two
+texts share at most the sum of the lesser weights in each part of the hash range (their outlines).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.llm.common import components, partitions, per_worker, stepwise, text_slices
 from tallyloom.operators.keyed import fresh
@@ -31,6 +32,10 @@ SAMPLES = BANDS * ROWS
 PART_BYTES = 16 << 20
 #: Bytes of partners that one text is compared with in one group, about.
 BLOCK_BYTES = 8 << 20
+#: Parts of the hash range whose weights make a text's outline.
+OUTLINE = 256
+#: Texts of a bucket in one comparison of outlines, about. A larger bucket is dealt into chunks, and each two chunks meet.
+CHUNK = 2_000
 #: Stands for a null id: it comes before all others.
 NO_ID = -(1 << 63)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -94,6 +99,35 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(least / most) if most else 1.0
 
 
+def outline(kinds: np.ndarray, weights: np.ndarray) -> bytes:
+    """Sum of the weights in each part of the hash range, rounded up to 16 bits."""
+    whole = np.bincount((kinds >> np.uint64(56)).astype(np.int64), weights, OUTLINE)
+    with np.errstate(over="ignore"):  # beyond 16 bits: infinite, so that the text meets all others
+        half = whole.astype(np.float16)
+        return np.where(half < whole, np.nextafter(half, np.float16(np.inf)), half).astype("<f2").tobytes()
+
+
+def may_be_alike(weight: np.ndarray, outlines: np.ndarray, apart: Callable[[int, slice], np.ndarray], threshold: float, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each text (in order of weight) the heavier ones that may be as alike as ``threshold``, the ``most`` closest by outline.
+
+    ``apart(i, others)`` tells which of a slice of the others are to be looked at.
+    """
+    last = np.searchsorted(weight, weight / max(threshold - 1e-6, 1e-12), "right")
+    for i in range(len(weight) - 1):
+        others = slice(i + 1, int(last[i]))
+        at = i + 1 + np.flatnonzero(apart(i, others))
+        if len(at):
+            # likeness = shared / (both - shared), so it is at least the threshold if and only if shared / both >= threshold / (1 + threshold)
+            shared = np.minimum(outlines[at], outlines[i]).sum(axis=1, dtype=np.float32)
+            both = weight[at] + weight[i]
+            near = shared >= (threshold / (1 + threshold) * (1 - 1e-4)) * both
+            at, part = at[near], shared[near] / np.maximum(both[near], 1e-30)
+            if len(at) > most:
+                at = at[np.argsort(-part, kind="stable")[:most]]
+            if len(at):
+                yield i, at
+
+
 def _draws() -> tuple[np.ndarray, ...]:
     """Tables of the method's random numbers, looked up by 16 bits of a shingle's hash under each sample's multiplier."""
     rng = np.random.Generator(np.random.PCG64(20))
@@ -143,8 +177,8 @@ def _asked(texts: list[str], copies: list[int]) -> tuple[list[tuple[np.ndarray,
 
 
 def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, Callable[[], None]]:
-    """A written table (and what deletes it) of (own, doc, mark, idf, weight, bands) per text: the inverse document frequency of each of its
-    shingles in order of hash (floats), the sum of their weights, and its bands.
+    """A written table (and what deletes it) of (own, doc, mark, idf, weight, bands, outline) per text: the inverse document frequency of each
+    of its shingles in order of hash (floats), the sum of their weights, its bands and its outline.
 
     ``texts``: batch, own, doc, mark, copies, text; ``n`` rows in all. A part holds the frequencies of a range of hashes.
     """
@@ -173,7 +207,7 @@ def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, C
         return pa.table([pa.array([o[c] for o in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["batch", "kinds", "rows"])
 
     def use(own: pa.Table, answers: pa.Table) -> pa.Table:
-        idf, total, drawn = [], [], []
+        idf, total, drawn, outlines = [], [], [], []
         each, kinds, held = _asked(own["text"].to_pylist(), own["copies"].to_pylist())
         for k, rows in zip(answers["kinds"].to_pylist(), answers["rows"].to_pylist()):
             held[np.searchsorted(kinds, _unpacked(k))] = np.frombuffer(rows, "<i8")
@@ -183,12 +217,13 @@ def with_frequencies(texts: DataFrame, n: int, parts: int) -> tuple[DataFrame, C
             idf.append(value.tobytes())
             total.append(float(weights.sum(dtype=np.float64)))
             drawn.append(bands(mine, weights) if len(mine) else _WORDLESS)
-        columns = [own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(total, pa.float64()), pa.array(drawn, pa.list_(pa.int64()))]
-        return pa.table(columns, ["own", "doc", "mark", "idf", "weight", "bands"])
+            outlines.append(outline(mine, weights))
+        columns = [own["own"], own["doc"], own["mark"], pa.array(idf, pa.binary()), pa.array(total, pa.float64()), pa.array(drawn, pa.list_(pa.int64())), pa.array(outlines, pa.binary())]
+        return pa.table(columns, ["own", "doc", "mark", "idf", "weight", "bands", "outline"])
 
     # written on the way, so that the shuffle of the questions has gone before texts are dealt to their answers
     answers, answers_read = stepwise(texts.mapInArrow(ask, "part long, batch long, kinds binary, rows binary").groupBy("part").applyInArrow(answer, "batch long, kinds binary, rows binary"), "near-answers")
-    weighed = stepwise(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, weight double, bands array<long>"), "near-weighed")
+    weighed = stepwise(texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(use, "own binary, doc long, mark long, idf binary, weight double, bands array<long>, outline binary"), "near-weighed")
     answers_read()
     return weighed
 
@@ -259,6 +294,60 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = 0.8, id_column: s
     return known.select(own(F.col("doc")).alias(id_column), own(F.col("group.doc")).alias("class_id"), (F.struct("doc", "mark") == F.col("group")).alias("representative"))
 
 
+def _meetings(placed: DataFrame, threshold: float, at_once: int) -> DataFrame:
+    """(u, v, size of v, turn): texts of a bucket in different groups that may be alike; of each text the closest ``at_once``, turns 1
+    and up, and one of a later turn if there are more.
+
+    Each two chunks of a bucket come to one task, sorted, so that no task holds more than two chunks of outlines at a time.
+    """
+    chunks = (F.floor(F.col("n") / CHUNK) + 1).cast("int")
+    own = placed.select("bucket", "node.*", F.col("group.doc").alias("group_doc"), F.col("group.mark").alias("group_mark"), "weight", "size", "outline", chunks.alias("chunks"), F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
+    met = met.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")}).drop("other")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _by_meeting(batches):
+            order = np.argsort(group["weight"].to_numpy(), kind="stable")
+            doc, mark, group_doc, group_mark, weight, size, chunk = (group[c].to_numpy()[order] for c in ("doc", "mark", "group_doc", "group_mark", "weight", "size", "chunk"))
+            outlines = np.frombuffer(b"".join(group["outline"].to_pylist()), "<f2").reshape(-1, OUTLINE)[order].astype(np.float32)
+            within = group["low"][0].as_py() == group["high"][0].as_py()
+
+            def apart(i: int, others: slice) -> np.ndarray:
+                found = (group_doc[others] != group_doc[i]) | (group_mark[others] != group_mark[i])
+                return found if within else found & (chunk[others] != chunk[i])
+
+            found = list(may_be_alike(weight, outlines, apart, threshold, at_once + 1))
+            if not found:
+                continue
+            a, b = np.repeat([i for i, _ in found], [len(at) for _, at in found]), np.concatenate([at for _, at in found])
+            turn = np.concatenate([np.arange(1, len(at) + 1) for _, at in found])
+            first = (doc[a] < doc[b]) | ((doc[a] == doc[b]) & (mark[a] < mark[b]))
+            u, v = np.where(first, a, b), np.where(first, b, a)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[u], mark[u], doc[v], mark[v], size[v], turn)], ["u_doc", "u_mark", "v_doc", "v_mark", "size", "turn"])
+
+    keys = ["bucket", "low", "high"]
+    pairs = met.repartition(partitions(placed.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(meet, "u_doc long, u_mark long, v_doc long, v_mark long, size long, turn long")
+    side = lambda c: F.struct(F.col(f"{c}_doc").alias("doc"), F.col(f"{c}_mark").alias("mark")).alias(c)
+    return pairs.select(side("u"), side("v"), "size", "turn")
+
+
+def _by_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one bucket and pair of chunks, which stand together but may go over several Arrow batches."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if held is not None:
+            rows = pa.concat_tables([held, rows]).combine_chunks()
+        keys = [rows[c].to_numpy() for c in ("bucket", "low", "high")]
+        cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        cut = [0, *cut.tolist()]
+        for low, high in zip(cut, cut[1:]):
+            yield rows.slice(low, high - low)
+        held = rows.slice(cut[-1]) if len(rows) else None
+    if held is not None:
+        yield held
+
+
 def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str) -> DataFrame:
     """(doc, mark, own, group) per input row: its id, the hash and digest of its text, and the node that stands for its class."""
     spark = docs.sparkSession
@@ -299,11 +388,12 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
 
         return left.groupBy("own_u", "own_block").cogroup(right.groupBy("u", "block")).applyInArrow(compare, pairs.select("u", "v").schema)
 
-    def placed_by(groups: DataFrame, bands_: tuple[int, ...]) -> tuple[DataFrame, Callable[[], None]]:
-        """Members of the buckets that hold several groups, with their own group and that of the bucket's first text."""
+    def placed_by(groups: DataFrame, bands_: tuple[int, ...], outlines: DataFrame | None = None) -> tuple[DataFrame, Callable[[], None]]:
+        """Members of the buckets that hold several groups, with their own group, that of the bucket's first text, and the bucket's size."""
         placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "weight", "size", "first", F.coalesce("group", "node").alias("group"))
-        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first.node"), F.col("group"))).alias("main")).where("low <> high").select("bucket", "main")
-        return stepwise(placed.join(several, "bucket"), "near-placed")
+        several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first.node"), F.col("group"))).alias("main"), F.count("*").alias("n")).where("low <> high").select("bucket", "main", "n")
+        found = placed.join(several, "bucket")
+        return stepwise(found if outlines is None else found.join(outlines, "node"), "near-placed")
 
     # what was compared and what is linked grow by a table each round
     compared = links = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
@@ -328,19 +418,16 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
         placed, placed_read = placed_by(groups, bands_)
         look(placed.where("group <> main").where(fit("weight", "first.weight")).select(F.col("first.node").alias("u"), F.col("node").alias("v"), "size"))
         placed_read()
-    # then texts outside the first one's group against all of other groups, some of them in each round
+    # then each text against those of other groups that may be like it, the closest of them in the first round
     at_once, placed = 1, None
     while True:
         if placed is None:
-            placed, placed_read = placed_by(groups, tuple(range(BANDS)))
-        outside = placed.where("group <> main")
-        turn = Window.partitionBy("bucket").orderBy("node")
-        leaders = outside.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= at_once)
-        leaders = leaders.select("bucket", F.col("node").alias("x"), F.col("group").alias("x_group"), F.col("weight").alias("x_weight"), F.col("size").alias("x_size"))
-        across = placed.join(leaders, (placed["bucket"] == leaders["bucket"]) & (F.col("group") != F.col("x_group")) & fit("weight", "x_weight"))
-        u, v = F.least(F.struct("node", "size"), F.struct(F.col("x").alias("node"), F.col("x_size").alias("size"))), F.greatest(F.struct("node", "size"), F.struct(F.col("x").alias("node"), F.col("x_size").alias("size")))
-        linked = look(across.select(u.alias("a"), v.alias("b")).select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("b.size").alias("size")))
-        if not linked and outside.groupBy("bucket").count().where(F.col("count") > at_once).isEmpty():
+            placed, placed_read = placed_by(groups, tuple(range(BANDS)), weighed.select(node, "outline"))
+        met, met_read = stepwise(_meetings(placed, threshold, at_once), "near-met")
+        linked = look(met.where(F.col("turn") <= at_once).select("u", "v", "size"))
+        left_out = not met.where(F.col("turn") > at_once).isEmpty()
+        met_read()
+        if not linked and not left_out:
             break
         if linked:
             placed_read()

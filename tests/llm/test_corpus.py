@@ -385,6 +385,45 @@ def test_unrelated_texts_do_not_change_a_likeness(spark):
     assert got == {i: i for i in range(10)}
 
 
+def test_texts_that_may_be_alike():
+    """Outlines leave out no pair of that likeness, and leave out most pairs that have less, of equal weight as well."""
+    rng = np.random.default_rng(3)
+    stem = [f"s{i}" for i in range(400)]
+    rows = []
+    for k in range(60):
+        words, share = list(stem), rng.choice([0.005, 0.02, 0.1])
+        for i in np.flatnonzero(rng.random(len(words)) < share):
+            words[i] = f"t{k}x{i}"
+        kinds, counts = np.unique(near.shingles(" ".join(words)), return_counts=True)
+        rows.append((kinds, counts.astype(np.float32) * (1 + kinds % np.uint64(7)).astype(np.float32)))
+    rows.sort(key=lambda r: r[1].sum(dtype=np.float64))
+    weight = np.array([w.sum(dtype=np.float64) for _, w in rows])
+    outlines = np.array([np.frombuffer(near.outline(*r), "<f2") for r in rows]).astype(np.float32)
+    every = lambda i, others: np.ones(len(weight[others]), bool)
+    found = {(i, j) for i, at in near.may_be_alike(weight, outlines, every, 0.8, 60) for j in at.tolist()}
+    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60)]
+    alike = {p for p in pairs if near.likeness(rows[p[0]], rows[p[1]]) >= 0.8}
+    assert len(alike) > 100 and alike <= found and len(found - alike) < 0.2 * (len(pairs) - len(alike))
+    closest = {i: at.tolist() for i, at in near.may_be_alike(weight, outlines, every, 0.8, 1)}
+    assert all(len(at) == 1 for at in closest.values()) and closest.keys() == {i for i, _ in found}
+
+
+def test_buckets_of_several_chunks(spark, monkeypatch):
+    """Texts in a chain, each like the next only, and copies of another chain: the classes are the same in chunks of two texts."""
+    texts = []
+    for name, steps in (("a", 12), ("b", 5)):
+        words = [f"{name}{i}" for i in range(120)]
+        for k in range(steps):
+            texts.append(" ".join(words))
+            words[8 * k : 8 * k + 2] = [f"{name}{k}new", f"{name}{k}newer"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = lambda: {r.doc_id: r.class_id for r in near.near_duplicate_classes(rows, 0.7).collect()}
+    whole = classes()
+    assert set(whole.values()) == {0, 12}
+    monkeypatch.setattr(near, "CHUNK", 2)
+    assert classes() == whole
+
+
 def test_site_quality_on_held_out_labels(spark, mid_dir, docs, empty):
     every, labels = spark.read.parquet(f"{mid_dir}/documents.parquet"), spark.read.parquet(f"{mid_dir}/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
