@@ -55,11 +55,25 @@ def term_counts(df: DataFrame, key: str, words: str = "terms") -> DataFrame:
     return _unfold(df, words, "term", key).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
+def row_term_counts(df: DataFrame, key: str, words: str = "terms") -> DataFrame:
+    """``term_counts`` where no two rows have one key: the tokens of a row are sorted and counted in place, without a shuffle."""
+    ordered, ends, found = (fresh(name, df) for name in ("_ordered", "_ends", "_found"))
+    n = F.size(ordered)
+    at = lambda i: F.get(ordered, i)
+    runs = df.select(key, F.sort_array(F.array_compact(words)).alias(ordered))
+    last = F.filter(F.sequence(F.lit(1), n), lambda i: ~at(i - 1).eqNullSafe(at(i)))
+    runs = runs.withColumn(ends, F.when(n > 0, last))
+    count = lambda end, k: F.struct(at(end - 1).alias("term"), (end - F.coalesce(F.get(ends, k - 1), F.lit(0))).cast("bigint").alias("tf"))
+    counted = runs.select(key, F.transform(ends, count).alias(found))
+    # The outer form: inline() would add a size filter that counts once more.
+    return counted.select(key, F.inline_outer(found)).where(F.col("term").isNotNull())
+
+
 def document_counts(counts: DataFrame) -> DataFrame:
     """(term, df): in how many rows each term occurs.
 
     Reading ``tf`` keeps the inner plan equal to ``term_counts``, so that a job
-    which needs both shuffles the counts once and re-reads them.
+    which needs both shuffles those counts once and re-reads them.
     """
     return counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
@@ -67,10 +81,12 @@ def document_counts(counts: DataFrame) -> DataFrame:
 def term_tfidf(df: DataFrame, key: str, words: str = "terms", rows_per_task: int = 1_000_000) -> DataFrame:
     """Exact-term TF-IDF, idf = ln((m + 1) / (df + 1)) over m rows; ``key`` is unique per row.
 
-    Terms of more than ``rows_per_task`` rows are spread (see ``join_by_frequency``).
+    Where a key does repeat, which is looked up at once, the terms of its rows are counted together; else they are counted
+    within each row and not shuffled for it. Terms of more than ``rows_per_task`` rows are spread (see ``join_by_frequency``).
     """
     m = df.agg(F.count("*").alias("m"))
-    counts = term_counts(df, key, words)
+    repeats = not df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    counts = term_counts(df, key, words) if repeats else row_term_counts(df, key, words)
     joined = join_by_frequency(counts, document_counts(counts), "term", "df", F.col(key), rows_per_task)
     idf = F.log((m.scalar() + 1) / (F.col("df") + 1))
     return joined.select(key, "term", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))

@@ -68,6 +68,24 @@ def test_term_tfidf_by_brute_force_with_a_term_in_every_row(spark):
     assert all(f[:2] == e[:2] and math.isclose(f[2], e[2], abs_tol=1e-9) for f, e in ((found[k], expected[k]) for k in expected))
 
 
+def test_term_counts_within_rows_and_of_repeated_keys(spark):
+    rows = [(1, ["b", None, "a", "b", ""]), (2, []), (3, None), (4, [None]), (None, ["a", "ä", "a"])]
+    df = spark.createDataFrame(rows, "id int, terms array<string>")
+    counted = lambda found: {(r.id, r.term): r.tf for r in found.collect()}
+    expected = {(1, "b"): 2, (1, "a"): 1, (1, ""): 1, (None, "a"): 2, (None, "ä"): 1}
+    within = text.row_term_counts(df, "id")
+    assert counted(within) == counted(text.term_counts(df, "id")) == expected and within.schema["tf"].dataType.typeName() == "long"
+    assert "Exchange" not in within._jdf.queryExecution().executedPlan().toString()
+    twice = text.term_tfidf(df.unionAll(df), "id")
+    assert {(r.id, r.term): (r.tf, r.df) for r in twice.collect()} == {k: (2 * n, 2 if k[1] == "a" else 1) for k, n in expected.items()}
+
+
+def test_term_tfidf_shuffles_rows_once(spark, mid_dir):
+    df = spark.read.parquet(f"{mid_dir}/documents.parquet").select("doc_id", "text")
+    plan = text.term_tfidf(text.with_terms(df, "text"), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan
+
+
 def test_rows_without_words_are_counted_in_m(spark):
     df = spark.createDataFrame([(1, ["a"]), (2, []), (3, None)], "id int, terms array<string>")
     row = text.term_tfidf(df, "id").first()
