@@ -11,14 +11,16 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.coding import assemble_stage, bucket_stage, dummy_stage, index_stage
 from tallyloom.operators.text import text_stages
+from tallyloom.sources.scratch import scratch_path
 
 
 def least_squares(label: str, features: str = "features", **params) -> LinearRegression:
@@ -52,6 +54,52 @@ def boosted(label: str = "label", *, seed: int, rounds: int = 20, features: str
     return GBTClassifier(labelCol=label, featuresCol=features, maxIter=rounds, seed=seed, **params)
 
 
+def cut_forests(model: RandomForestClassificationModel, depths: list[int], spark: SparkSession) -> dict[int, RandomForestClassificationModel]:
+    """The forests that the same fit gives with a smaller ``maxDepth``, from the saved model's table of nodes.
+
+    Nodes at the depth become leaves with the class counts they have; as in a fit, two leaves of one prediction become one.
+    Parameters are the given model's but for ``maxDepth``. A model is small and already on the driver.
+    """
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    saved = spark.read.parquet(f"{path}/data")
+    trees: dict[int, dict[int, dict]] = {}
+    for row in saved.collect():
+        node = row["nodeData"].asDict()
+        trees.setdefault(row["treeID"], {})[node["id"]] = node
+
+    def cut(nodes: dict[int, dict], at: int, depth: int, out: list[dict]) -> dict:
+        """Adds the nodes from ``at`` down to ``out``, in the order of their new ids: a node, what is left of it, what is right of it."""
+        own = dict(nodes[at], id=len(out), gain=-1.0, leftChild=-1, rightChild=-1)
+        out.append(own)
+        if depth and nodes[at]["leftChild"] >= 0:
+            left = cut(nodes, nodes[at]["leftChild"], depth - 1, out)
+            right = cut(nodes, nodes[at]["rightChild"], depth - 1, out)
+            if left["leftChild"] < 0 and right["leftChild"] < 0 and left["prediction"] == right["prediction"]:
+                del out[own["id"] + 1 :]
+                own["prediction"] = left["prediction"]
+            else:
+                own.update(gain=nodes[at]["gain"], leftChild=left["id"], rightChild=right["id"])
+        if own["leftChild"] < 0:
+            own["split"] = (-1, [], -1)  # a leaf's, as the model is saved
+        return own
+
+    found = {}
+    for depth in depths:
+        rows = []
+        for tree, nodes in trees.items():
+            kept: list[dict] = []
+            cut(nodes, 0, depth, kept)
+            rows += [(tree, tuple(node[c] for c in saved.schema["nodeData"].dataType.names)) for node in kept]
+        own = scratch_path(spark, "forest")
+        spark.createDataFrame(rows, saved.select("treeID", "nodeData").schema).write.parquet(f"{own}/data")
+        spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{own}/treesMetadata")
+        spark.read.text(f"{path}/metadata").write.text(f"{own}/metadata")
+        found[depth] = RandomForestClassificationModel.load(own)
+        found[depth].set(found[depth].maxDepth, depth)
+    return found
+
+
 @contextmanager
 def cached(*frames: DataFrame) -> Iterator[None]:
     """Keep frames that several jobs read (fits, scores), spilling to disk, and release them after.

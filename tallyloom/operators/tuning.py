@@ -4,18 +4,22 @@
 
 * the stages before the model are fitted once per fold instead of once per fold
   and grid point, still on that fold's training rows only;
-* folds are plain filters on a fold column, without a Python check per row.
+* folds are plain filters on a fold column, without a Python check per row;
+* random forests that differ only in ``maxDepth`` are one fit, the deepest, cut at each depth, and subset rules
+  that choose as many of the features are one rule.
 
 The metrics are the same; a test compares the two.
 """
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -24,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.operators.coding import assemble_stage
 from tallyloom.operators.metrics import auc_table
-from tallyloom.operators.models import cached, category_stages
+from tallyloom.operators.models import cached, category_stages, cut_forests
 from tallyloom.operators.moments import linear_grid_metrics
 from tallyloom.operators.reports import parameter_table, stage_of
 
@@ -102,6 +106,34 @@ def grid_size(table: DataFrame) -> DataFrame:
     return table.agg(F.count("*").alias("n_models"))
 
 
+#: Features that a tree's subset rule chooses from n.
+_CHOSEN = {
+    "all": lambda n: n, "onethird": lambda n: math.ceil(n / 3), "sqrt": lambda n: math.ceil(math.sqrt(n)), "log2": lambda n: max(1, math.ceil(math.log2(n))),
+}
+
+
+def same_fits(model: Estimator, points: list[dict], rows: DataFrame) -> list[dict[int, list[int]]]:
+    """The points (by number) that one fit serves, by maximal depth; 0 stands for the depth of an estimator that is no forest.
+
+    A forest grows level by level, and its draws of rows and features do not depend on the levels to come, as long as each level
+    is grown in one pass: where its widest one might not fit ``maxMemoryInMB`` the point has a fit of its own.
+    """
+    if not isinstance(model, RandomForestClassifier):
+        return [{0: [i]} for i in range(len(points))]
+    n = rows.schema[model.getFeaturesCol()].metadata.get("ml_attr", {}).get("num_attrs", 0)
+    fits: dict[tuple, dict[int, list[int]]] = {}
+    for i, point in enumerate(points):
+        own = model.copy(point)
+        rule, depth = own.getFeatureSubsetStrategy(), own.getMaxDepth()
+        # a node sums up, of two classes, the bins of each feature; twice that, to be safe
+        widest = own.getNumTrees() * 2 ** max(0, depth - 1) * n * own.getMaxBins() * 2 * 8 * 2
+        alone = i if not n or widest > own.getMaxMemoryInMB() << 20 else -1
+        others = tuple(sorted((p.name, str(v)) for p, v in point.items() if p.name not in ("maxDepth", "featureSubsetStrategy")))
+        key = (alone, others, _CHOSEN[rule](n) if rule in _CHOSEN else rule)
+        fits.setdefault(key, {}).setdefault(depth, []).append(i)
+    return list(fits.values())
+
+
 def grid_search(
     stages: list, model: Estimator, points: list[dict], evaluator: Evaluator,
     rows: DataFrame, fold_column: str, folds: int, parallelism: int = 4,
@@ -122,9 +154,18 @@ def grid_search(
             train = prepared.transform(rows.where(~held_out)).select(*needed)
             held = prepared.transform(rows.where(held_out)).select(*needed)
             with cached(train, held):
-                run = in_session(lambda point: evaluator.evaluate(model.fit(train, point).transform(held)))
-                for values, value in zip(metrics, pool.map(run, points)):
-                    values.append(value)
+
+                def run(depths: dict[int, list[int]]) -> dict[int, float]:
+                    """The metric of each point that this fit serves."""
+                    deepest = max(depths)
+                    fitted = {deepest: model.fit(train, points[depths[deepest][0]])}
+                    if len(depths) > 1:
+                        fitted |= cut_forests(fitted[deepest], [d for d in depths if d != deepest], rows.sparkSession)
+                    return {i: value for d, own in depths.items() for value in [evaluator.evaluate(fitted[d].transform(held))] for i in own}
+
+                for found in pool.map(in_session(run), same_fits(model, points, train)):
+                    for i, value in found.items():
+                        metrics[i].append(value)
         result = GridResult(points, metrics, evaluator.getMetricName(), evaluator.isLargerBetter(), None)
         winner = Pipeline(stages=[*stages, model.copy(points[result.best])])
         result.best_model = winner.fit(rows)

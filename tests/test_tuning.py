@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import coding, models, reports, split, tuning, wrangle
 from tallyloom.plans import linear
-from tallyloom.sources import trips
+from tallyloom.sources import dealt, trips
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,49 @@ def test_no_axes_give_one_point(folded, spark):
     assert table.columns == ["point", "metric", "mean_metric", "rank"] and tuning.grid_size(table).first()[0] == 1
 
 
+@pytest.fixture(scope="module")
+def late_vectors(spark, sf_dir):
+    late = trips(spark, sf_dir).transform(wrangle.delay_labels)
+    rows = dealt(late.select("trip_id", "mon", "depart", "duration", "label"), "trip_id", 3)
+    return coding.assemble_stage(["mon", "depart", "duration"]).transform(rows).select("trip_id", "features", "label").cache()
+
+
+def test_cut_forest_is_the_shallower_fit(spark, late_vectors):
+    model = models.forest(seed=3, trees=4, featureSubsetStrategy="sqrt")
+    deepest = model.copy({model.maxDepth: 7}).fit(late_vectors)
+    for depth, cut in models.cut_forests(deepest, [0, 2, 4], spark).items():
+        own = model.copy({model.maxDepth: depth, model.featureSubsetStrategy: "log2"}).fit(late_vectors)
+        assert cut.getMaxDepth() == depth and cut.toDebugString.split("\n")[1:] == own.toDebugString.split("\n")[1:]
+        raw = lambda m: [r[0] for r in m.transform(late_vectors).orderBy("trip_id").select("rawPrediction").collect()]
+        assert raw(cut) == raw(own)
+
+
+def test_forest_grid_fits_each_forest_once(spark, late_vectors, monkeypatch):
+    """Three rules, one of them under two names, by two depths: one fit a fold for each rule, and the metrics of fits of their own."""
+    model = models.forest(seed=3, trees=3)
+    points = tuning.grid({model.featureSubsetStrategy: ["onethird", "sqrt", "log2"], model.maxDepth: [1, 4]})
+    fits, fit = [], type(model).fit
+    monkeypatch.setattr(type(model), "fit", lambda self, rows, params=None: fits.append(params) or fit(self, rows, params))
+    rows = split.with_fold(late_vectors.withColumnRenamed("features", "given"), "trip_id", 2)
+    evaluator, stages = BinaryClassificationEvaluator(numBins=0), [coding.assemble_stage(["given"])]
+    found = tuning.grid_search(stages, model, points, evaluator, rows, "fold", 2)
+    assert len(fits) == 2 * 2 + 1  # and the winner
+    for i, point in enumerate(points):
+        for fold in range(2):
+            train, held = (stages[0].transform(rows.where(c)) for c in (F.col("fold") != fold, F.col("fold") == fold))
+            assert found.fold_metrics[i][fold] == evaluator.evaluate(fit(model, train, point).transform(held))
+
+
+def test_only_forests_of_known_width_share_a_fit(late_vectors):
+    model = models.forest(seed=3, trees=3)
+    points = tuning.grid({model.numTrees: [3, 5], model.maxDepth: [1, 4]})
+    assert tuning.same_fits(model, points, late_vectors) == [{1: [0], 4: [1]}, {1: [2], 4: [3]}]
+    own = [{1: [0]}, {4: [1]}, {1: [2]}, {4: [3]}]
+    assert tuning.same_fits(model.copy({model.maxMemoryInMB: 0}), points, late_vectors) == own
+    single = models.tree()
+    assert tuning.same_fits(single, tuning.grid({single.maxDepth: [1, 4]}), late_vectors) == [{0: [0]}, {0: [1]}]
+
+
 def test_larger_area_wins(spark, sf_dir):
     late = trips(spark, sf_dir).transform(wrangle.delay_labels).select("trip_id", "depart", "mon", "label")
     model = models.forest(seed=3, trees=3)
