@@ -10,7 +10,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.sources import ensure_checkpoint_dir, scratch_path
+from tallyloom.sources import scratch_path
 
 
 def per_worker(name: str, make: Callable[[], Any]) -> Any:
@@ -68,28 +68,41 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 <
             yield batch.slice(start)
 
 
+#: Rows of a few numbers that make a task worthwhile.
+ROWS_A_TASK = 10_000
+
+
+def tasks_for(spark: SparkSession, rows: int, size: int = 0, bytes_a_task: int = 2 << 20) -> int:
+    """Tasks for so many small rows that hold so many bytes: one for each core at least, and never more than an exchange has."""
+    return max(1, min(partitions(spark), max(spark.sparkContext.defaultParallelism, rows // ROWS_A_TASK, size // bytes_a_task)))
+
+
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, root): connected components of an undirected edge list; the root is the smallest node.
 
     Alternates large-star and small-star steps. Each step sends a node's neighbours to the least of them, so
     the number of steps grows with the logarithm of the longest path, and each is one grouping and one join.
     A node with very many neighbours needs no list of them: its least neighbour is an aggregate, and the join
-    that gives it to the others may be split by Spark.
+    that gives it to the others may be split by Spark. The parts of an exchange are read by as many tasks as the
+    edges are worth: with a task for each of hundreds of parts, small graphs cost executors more than large ones.
     """
-    ensure_checkpoint_dir(edges.sparkSession)
-    links = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v").distinct().checkpoint()
-    before = None
-    while True:
+    spark = edges.sparkSession
+    links, links_read = stepwise(edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v").distinct(), "links")
+    state_of = lambda links: links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    before = state_of(links)
+    while before[0]:
+        tasks = tasks_for(spark, before[0])
         both = links.select("u", "v").union(links.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: larger neighbours go to the least of the neighbourhood
-        links = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").coalesce(tasks).distinct().coalesce(tasks)
         # small star: smaller neighbours and the node itself go to the least
-        down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("v").alias("a"), "m").where("a <> m")
-        links = small.select(F.col("a").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct().checkpoint()
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = down.join(least, "u").select(F.col("v").alias("a"), "m").where("a <> m").coalesce(tasks)
+        after, after_read = stepwise(small.select(F.col("a").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")).coalesce(tasks)).distinct().coalesce(tasks), "links")
+        links_read()
+        links, links_read, state = after, after_read, state_of(after)
         if state == before:
             break
         before = state

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.llm.common import components, partitions, per_worker, stepwise, text_slices
+from tallyloom.llm.common import components, partitions, per_worker, stepwise, tasks_for, text_slices
 from tallyloom.operators.keyed import fresh
 
 WORDS, BANDS, ROWS = 5, 12, 3
@@ -363,21 +363,24 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
     members = weighed.select(node, "weight", (F.octet_length("idf") * 3).cast("long").alias("size"), F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("node", "weight", "size")).alias("first")).where("n > 1").drop("n")
     members, members_read = stepwise(members.join(shared, "bucket"), "near-members")
+    # exchanges have as many parts as the session says, but few rows are left here: a task reads several parts
+    few = tasks_for(spark, members.count())
 
     def fit(a: str, b: str) -> Column:
         """Likeness is at most the ratio of the weights; other pairs need no look."""
         return F.least(a, b) >= (threshold - 1e-6) * F.greatest(a, b)
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, tasks: int) -> DataFrame:
         """Those of the pairs (u, v, size of v) that are alike. Only texts in pairs are sent about: that of ``v`` once per
         pair, that of ``u`` once per block of partners, of some ``BLOCK_BYTES`` each."""
         needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
         needed = needed.select(F.col("node.doc").alias("doc"), F.col("node.mark").alias("mark"))
-        held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, "text", "idf")
+        held = needed.join(texts.select("doc", "mark", "text"), ["doc", "mark"]).join(weighed.select("doc", "mark", "idf"), ["doc", "mark"]).select(node, "text", "idf").coalesce(tasks)
         loads = pairs.groupBy("u").agg((F.floor(F.sum("size") / BLOCK_BYTES) + 1).cast("int").alias("blocks"))
-        right = pairs.join(loads, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block")).join(held.withColumnRenamed("node", "v"), "v")
+        right = pairs.join(loads, "u").select("u", "v", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block")).coalesce(tasks)
+        right = right.join(held.withColumnRenamed("node", "v"), "v").coalesce(tasks)
         left = loads.select("u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).join(held.withColumnRenamed("node", "u"), "u")
-        left = left.select(*(F.col(c).alias(f"own_{c}") for c in ("u", "block", "text", "idf")))
+        left = left.select(*(F.col(c).alias(f"own_{c}") for c in ("u", "block", "text", "idf"))).coalesce(tasks)
 
         def compare(one: pa.Table, partners: pa.Table) -> pa.Table:
             if not len(partners):  # a block that no partner fell into
@@ -386,37 +389,43 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
             keep = [likeness(own, _weights(t.as_py(), i.as_py())) >= threshold for t, i in zip(partners["text"], partners["idf"])]
             return partners.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-        return left.groupBy("own_u", "own_block").cogroup(right.groupBy("u", "block")).applyInArrow(compare, pairs.select("u", "v").schema)
+        return left.groupBy("own_u", "own_block").cogroup(right.groupBy("u", "block")).applyInArrow(compare, pairs.select("u", "v").schema).coalesce(tasks)
 
     def placed_by(groups: DataFrame, bands_: tuple[int, ...], outlines: DataFrame | None = None) -> tuple[DataFrame, Callable[[], None]]:
         """Members of the buckets that hold several groups, with their own group, that of the bucket's first text, and the bucket's size."""
-        placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "weight", "size", "first", F.coalesce("group", "node").alias("group"))
+        placed = members.where(F.col("band").isin(*bands_)).join(groups, "node", "left").select("bucket", "node", "weight", "size", "first", F.coalesce("group", "node").alias("group")).coalesce(few)
         several = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.min(F.when(F.col("node") == F.col("first.node"), F.col("group"))).alias("main"), F.count("*").alias("n")).where("low <> high").select("bucket", "main", "n")
-        found = placed.join(several, "bucket")
-        return stepwise(found if outlines is None else found.join(outlines, "node"), "near-placed")
+        found = placed.join(several, "bucket").coalesce(few)
+        return stepwise(found if outlines is None else found.join(outlines, "node").coalesce(few), "near-placed")
 
-    # what was compared and what is linked grow by a table each round
-    compared = links = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    # what was compared grows by a table each round
+    compared = weighed.select(node).select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     groups = weighed.select(node).limit(0).select("node", F.col("node").alias("group"))
-
-    def look(pairs: DataFrame) -> bool:
-        """Compare pairs that were not compared before; are there new links?"""
-        nonlocal compared, links, groups
-        pairs, _ = stepwise(pairs.groupBy("u", "v").agg(F.first("size").alias("size")).join(compared, ["u", "v"], "left_anti"), "near-pairs")
-        if pairs.isEmpty():
+    groups_read = lambda: None  # noqa: E731  nothing is written yet
+
+    def look(pairs: DataFrame, most: int) -> bool:
+        """Compare pairs, of at most so many rows, that were not compared before; are there new links?"""
+        nonlocal compared, groups, groups_read
+        pairs, _ = stepwise(pairs.groupBy("u", "v").agg(F.first("size").alias("size")).join(compared, ["u", "v"], "left_anti").coalesce(tasks_for(spark, most)), "near-pairs")
+        n_pairs, n_bytes = pairs.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+        if not n_pairs:
             return False
         compared = compared.union(pairs.select("u", "v"))
-        found, _ = stepwise(verified(pairs), "near-links")
+        found, found_read = stepwise(verified(pairs, tasks_for(spark, n_pairs, n_bytes)), "near-links")
         if found.isEmpty():
             return False
-        links = links.union(found)
-        groups = components(links, "u", "v").withColumnRenamed("root", "group")
+        # the groups so far stand for all earlier links
+        linked = groups.select(F.col("node").alias("u"), F.col("group").alias("v")).union(found)
+        after, after_read = stepwise(components(linked, "u", "v").withColumnRenamed("root", "group").coalesce(few), "near-groups")
+        groups_read()
+        found_read()
+        groups, groups_read = after, after_read
         return True
 
     # the least text of each bucket against the others: a few bands first, so that later ones find most texts in one group
     for bands_ in ((0,), (1, 2), tuple(range(3, BANDS))):
         placed, placed_read = placed_by(groups, bands_)
-        look(placed.where("group <> main").where(fit("weight", "first.weight")).select(F.col("first.node").alias("u"), F.col("node").alias("v"), "size"))
+        look(placed.where("group <> main").where(fit("weight", "first.weight")).select(F.col("first.node").alias("u"), F.col("node").alias("v"), "size"), placed.count())
         placed_read()
     # then each text against those of other groups that may be like it, the closest of them in the first round
     at_once, placed = 1, None
@@ -424,7 +433,7 @@ def _members(docs: DataFrame, threshold: float, id_column: str, text_column: str
         if placed is None:
             placed, placed_read = placed_by(groups, tuple(range(BANDS)), weighed.select(node, "outline"))
         met, met_read = stepwise(_meetings(placed, threshold, at_once), "near-met")
-        linked = look(met.where(F.col("turn") <= at_once).select("u", "v", "size"))
+        linked = look(met.where(F.col("turn") <= at_once).select("u", "v", "size"), met.count())
         left_out = not met.where(F.col("turn") > at_once).isEmpty()
         met_read()
         if not linked and not left_out:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyloom.llm import near, order_fingerprint, packing, queries, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
+from tallyloom.llm import common, near, order_fingerprint, packing, queries, repeats, site_quality, token_files, toxicity, url_rules, warc, winnowing
 from tallyloom.sources import scratch_path
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -424,6 +424,26 @@ def test_buckets_of_several_chunks(spark, monkeypatch):
     assert classes() == whole
 
 
+def test_components_take_tasks_by_their_edges(spark):
+    """With 64 parts an exchange, a graph of a few edges doesn't take 64 tasks for each of its exchanges (4,373 in all before, 1,075 now)."""
+    edges = [(0, k) for k in range(5, 60)] + [(k, k + 1) for k in range(100, 110)] + [(201, 200), (200, 201), (300, 300)]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    jobs, tracker = "components of few edges", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(jobs, jobs)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").coalesce(8).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == {k: 0 for k in (0, *range(5, 60))} | {k: 100 for k in range(100, 111)} | {200: 200, 201: 200}
+    stages = {k for job in tracker.getJobIdsForGroup(jobs) for k in tracker.getJobInfo(job).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i)
+    assert tasks < 2_000, tasks
+
+
 def test_site_quality_on_held_out_labels(spark, mid_dir, docs, empty):
     every, labels = spark.read.parquet(f"{mid_dir}/documents.parquet"), spark.read.parquet(f"{mid_dir}/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
